@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import addresses
+from tallyweave.llm import addresses, entities
 from tallyweave.sources.tables import table
 
 
@@ -24,5 +24,14 @@ def p5_locations(spark: SparkSession, d: str) -> DataFrame:
     return addresses.locations(_address_records(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_locations)}
+def p1_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Observations with the suppliers they name and the confidence."""
+    return entities.match_entities(table(spark, d, "observed_supplier_identity"), table(spark, d, "suppliers"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return p1_matches(spark, d).select("obs_id", "supplier_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_locations)}
 SQL: dict[str, str] = {}
