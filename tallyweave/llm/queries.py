@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import addresses, entities
+from tallyweave.llm import addresses, entities, language
 from tallyweave.sources.tables import table
 
 
@@ -33,5 +33,14 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_matches(spark, d).select("obs_id", "supplier_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_locations)}
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.label_findings(table(spark, d, "documents"), table(spark, d, "document_inventory"))
+
+
+def p4_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Main language of each document and language of each paragraph, with confidences."""
+    return language.languages(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_languages, p5_found, p5_locations)}
 SQL: dict[str, str] = {}
