@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import addresses, entities, language
+from tallyweave.llm import addresses, entities, language, leaks
 from tallyweave.sources.tables import table
 
 
@@ -42,5 +42,14 @@ def p4_languages(spark: SparkSession, d: str) -> DataFrame:
     return language.languages(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_languages, p5_found, p5_locations)}
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the items that they hold, the words held and their share of the item."""
+    return leaks.leaks(table(spark, d, "eval_items"), table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_leaks(spark, d).select("item_id", "doc_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_languages, p5_found, p5_locations, p8_found, p8_leaks)}
 SQL: dict[str, str] = {}
