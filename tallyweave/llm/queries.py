@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm import addresses, entities, language, leaks
+from tallyweave.llm import addresses, entities, language, leaks, packing, pieces
 from tallyweave.sources.tables import table
 
 
@@ -51,5 +51,35 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_leaks(spark, d).select("item_id", "doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_languages, p5_found, p5_locations, p8_found, p8_leaks)}
-SQL: dict[str, str] = {}
+def budget(spark: SparkSession, d: str, name: str) -> tuple[int, int]:
+    """(max_tokens, overlap_tokens) of a budget."""
+    r = table(spark, d, "size_budgets").where(F.col("budget_name") == name).first()
+    return r["max_tokens"], r["overlap_tokens"]
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """A container number for each document, several for one above the budget."""
+    return packing.pack(table(spark, d, "documents"), budget(spark, d, "container")[0])
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers used, the least that any packing needs, and the share of room used."""
+    most = budget(spark, d, "container")[0]
+    return p7_containers(spark, d).agg(
+        F.countDistinct("container_no").alias("containers"), F.ceil(F.sum("n_tokens") / most).alias("at_least"), (F.sum("n_tokens") / (F.countDistinct("container_no") * most)).alias("fill")
+    )
+
+
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Ordered pieces of the documents above the budget."""
+    return pieces.split_documents(table(spark, d, "documents"), *budget(spark, d, "piece"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_pieces(spark, d).where("piece_no = 1").select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p4_found, p4_languages, p5_found, p5_locations, p7_containers, p7_fill, p8_found, p8_leaks, p9_found, p9_pieces)}
+SQL = {
+    "p9_found": r"select doc_id from documents where len(regexp_extract_all(text, '[\pL\pN_]+|[^\pL\pN_\s\pZ]+')) > (select max_tokens from size_budgets where budget_name = 'piece')",
+}
