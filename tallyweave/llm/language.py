@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.sampling import least_hashes
+
 # The languages and the names they go by in labels.
 LANGUAGES = ("en", "de", "fr", "pt", "es", "nl", "et", "th")
 NAMES = {
@@ -153,7 +155,7 @@ def train(docs: DataFrame, sample: int = TRAIN_DOCS, error: float = 0.01) -> Mod
     `error` of the kept paragraphs differ from their (likely) label. Without any labelled document, texts are told apart by nothing
     and every paragraph is rejected.
     """
-    picked = docs.select("doc_id", "text", label(F.col("lang")).alias("lang")).where("lang is not null and text is not null").orderBy(F.xxhash64("doc_id")).limit(sample).collect()
+    picked = least_hashes(docs.select("doc_id", "text", label(F.col("lang")).alias("lang")).where("lang is not null and text is not null"), F.col("doc_id"), sample).collect()
     texts, langs, held = [], [], []
     for i, r in enumerate(picked):
         for p in PARAGRAPH.split(normal(r["text"])):
