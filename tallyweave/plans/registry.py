@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.plans import general
+from tallyweave.plans import general, layouts, matches, texts
 
-FAMILIES = (general,)
+FAMILIES = (general, texts, layouts, matches)
 
 
 def queries() -> dict:
