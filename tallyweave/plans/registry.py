@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.plans import general, layouts, matches, texts
+from tallyweave.plans import feeds, general, layouts, matches, texts
 
-FAMILIES = (general, texts, layouts, matches)
+FAMILIES = (general, texts, layouts, matches, feeds)
 
 
 def queries() -> dict:
