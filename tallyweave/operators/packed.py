@@ -55,6 +55,13 @@ def tokens(text: str, notation: Notation) -> list[str]:
     stack: list[str] = []
     state, close, i, n = START, "", 0, len(text)
     quoted_from = 0
+    dead: set[str] = set()  # closers that do not come any more
+
+    def closes(mark: str) -> bool:
+        if mark in dead or text.find(mark, i + 1) < 0:
+            dead.add(mark)
+            return False
+        return True
 
     def emit() -> None:
         item = "".join(value).strip()
@@ -83,11 +90,11 @@ def tokens(text: str, notation: Notation) -> list[str]:
                 state, i = BARE, quoted_from + 1
             continue
         if state == START:
-            if c in QUOTES and text.find(QUOTES[c], i + 1) >= 0:
+            if c in QUOTES and closes(QUOTES[c]):
                 state, close, quoted_from = QUOTED, QUOTES[c], i
                 i += 1
                 continue
-            if c in BRACKETS and text.find(BRACKETS[c], i + 1) >= 0:
+            if c in BRACKETS and closes(BRACKETS[c]):
                 stack.append(BRACKETS[c])
                 i += 1
                 continue
