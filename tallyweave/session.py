@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,3 +57,17 @@ def width(df: DataFrame) -> int:
     """Number of tasks that the cluster runs at once, from the session; never below the shuffle width."""
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once a context, so that functions sent to them find it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyweave_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tallyweave-")) / "tallyweave.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path(root.name) / p.relative_to(root))
+    sc.addPyFile(str(archive))
+    sc._tallyweave_shipped = True
