@@ -222,7 +222,7 @@ def same_location(a: tuple, b: tuple) -> bool:
     """Whether two (street, kind, number, town, postcode) denote one location.
 
     The house number with its letter must be equal and present. The kind of street must be equal where both have one. Streets may
-    differ by one edit or swap (two, if long and in the same postcode), towns by one; a missing town is replaced by an equal
+    differ by one edit or swap (two, if long and in the same postcode or town), towns by one; a missing town is replaced by an equal
     postcode, and a town that agrees outweighs different postcodes only if the street is spelt alike.
     """
     if a[2] != b[2] or not a[2] or (a[1] and b[1] and a[1] != b[1]):
@@ -246,7 +246,7 @@ def same_location(a: tuple, b: tuple) -> bool:
         return True
     if min(len(street), len(other)) < 4:
         return False
-    return alike(street, other, 2 if same_code and min(len(street), len(other)) >= 8 else 1)
+    return alike(street, other, 2 if (same_code or a[3] == b[3]) and min(len(street), len(other)) >= 7 else 1)
 
 
 #: Component orders of the passes; a leading '-' reverses the letters.
