@@ -57,3 +57,9 @@ def nearest_right(labels: DataFrame, values: DataFrame, band: float = 20.0, bloc
         pairs = pairs.join(stop, ["page_id", "l_id"], "left").where(F.col("_stop").isNull() | (F.col("_stop") >= F.col("v_x")))
     best = pairs.groupBy("page_id", "l_id").agg(F.min(F.struct((F.col("v_x") - F.col("l_x")).alias("dx"), F.col("v_id").alias("value_id"))).alias("m"))
     return best.select("page_id", F.col("l_id").alias("cell_id"), "m.value_id", "m.dx")
+
+
+def x_buckets(cells: DataFrame, width: float) -> DataFrame:
+    """(page_id, cell_id, bucket): cells from left to right; a new bucket begins where x is more than `width` away from the bucket's first cell."""
+    turned = cells.select("page_id", "cell_id", F.col("y").alias("x"), F.col("x").alias("y"))
+    return rows(turned, width).withColumnRenamed("row_no", "bucket")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions import text as X
 from tallyweave.operators import blocks as B
 from tallyweave.operators import consensus as C
+from tallyweave.operators import extract as R
 from tallyweave.sources.tables import table
 
 # Words that mark kinds of documents and rows, as patterns that Spark and DuckDB read alike.
@@ -122,7 +123,38 @@ def q_page_groups(spark: SparkSession, d: str) -> DataFrame:
     return C.page_groups(pages, NUMBER, r"(?:Page|Seite|Página|Pagina) ([0-9]+) (?:of|von|sur|de|van) ([0-9]+)")
 
 
-QUERIES = {f.__name__: f for f in (q_blocks, q_lexicon_blocks, q_document_class, q_doc_scripts, q_amounts, q_dates, q_decimals, q_label_values, q_scope_fill, q_look_ahead, q_topk_numbers, q_first_blocks, q_source_totals, q_inventory_summary, q_currency_rank, q_file_filter, q_evidence_cache, q_page_groups)}
+#: Labels of document fields, as patterns that Spark and DuckDB read alike; the first that matches names the field.
+LABELS = {"total": "(?i)(total|gesamtbetrag|totaal)", "number": "(?i)(number|nummer|numero|n.mero|num.ro)$", "issued": "(?i)^(issued|ausgestellt|emitido|.tabli|opgemaakt|v.ljastatud|fecha)", "due": "(?i)^(payable|zahlbar|pagar|. r.gler|te betalen|tasuda)"}
+
+
+def q_table_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of tables in the texts."""
+    return R.table_lines(B.blocks(_docs(spark, d)))
+
+
+def q_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled fields of the texts."""
+    return R.labelled(B.blocks(_docs(spark, d)), LABELS)
+
+
+def q_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Printed totals with currency, per currency: how many, how many unread, their sum."""
+    code, amount = R.money(F.col("value"))
+    return q_fields(spark, d).where("field = 'total'").groupBy(code.alias("currency")).agg(F.count(F.lit(1)).alias("n_totals"), F.count_if(amount.isNull()).alias("n_unread"), F.sum(amount).cast("decimal(38,2)").alias("total"))
+
+
+def q_line_units(spark: SparkSession, d: str) -> DataFrame:
+    """What the tables sell: lines and documents per description and currency."""
+    return q_table_lines(spark, d).groupBy("description", "currency").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+def q_field_consensus(spark: SparkSession, d: str) -> DataFrame:
+    """What the inventory's rows of one document agree on."""
+    fields = ["document_class", "payable_status", "scripts_detected", "language_hints", "po_number_candidates"]
+    return C.consensus(C.observations(table(spark, d, "document_inventory"), "doc_id", fields, "inventory_id"))
+
+
+QUERIES = {f.__name__: f for f in (q_blocks, q_lexicon_blocks, q_document_class, q_doc_scripts, q_amounts, q_dates, q_decimals, q_label_values, q_scope_fill, q_look_ahead, q_topk_numbers, q_first_blocks, q_source_totals, q_inventory_summary, q_currency_rank, q_file_filter, q_evidence_cache, q_page_groups, q_table_lines, q_fields, q_totals, q_line_units, q_field_consensus)}
 
 _B = "b as (select doc_id, i - 1 as block_index, content from (select doc_id, unnest(string_split(text, chr(10))) as content, generate_subscripts(string_split(text, chr(10)), 1) as i from documents) where trim(content) <> '')"
 _COUNT = lambda p: f"len(regexp_extract_all(text, '{p}'))"
@@ -133,7 +165,18 @@ _DEC = """case when dots > 0 and commas > 0 and strpos(reverse(s), ',') < strpos
 _READ = lambda col, src: f"select *, try_cast({_DEC} as decimal(38,6)) as v from (select *, length(s) - length(replace(s, '.', '')) as dots, length(s) - length(replace(s, ',', '')) as commas from (select *, trim(regexp_replace({col}, '[$€£%]', '', 'g')) as s from {src}))"
 _HEAD = "^(Description|Beschreibung|Omschrijving|Kirjeldus)"
 
+_CELLS = rf"""{_B}, s as (select doc_id, block_index, string_split_regex(trim(content), '{R.CELLS}') as c from b), r as (select doc_id, block_index, trim(c[1]) as description, trim(c[2]) as q, trim(c[3]) as p, trim(c[4]) as a, trim(regexp_replace(c[4], '[A-Z]{{3}}', '', 'g')) as m from s where len(c) = 4),
+    k as (select * from r where regexp_matches(q, '{R.NUMBER}') and regexp_matches(p, '{R.NUMBER}') and regexp_matches(m, '{R.NUMBER}') and not regexp_matches(description, '{R.NUMBER}'))"""
+_num = lambda c: "cast(try_cast(" + _DEC.replace("dots", f"(length({c}) - length(replace({c}, '.', '')))").replace("commas", f"(length({c}) - length(replace({c}, ',', '')))").replace("reverse(s)", f"reverse({c})").replace("replace(s,", f"replace({c},").replace("left(s,", f"left({c},").replace("right(s,", f"right({c},").replace("length(s)", f"length({c})").replace("else s end", f"else {c} end") + " as decimal(38,6)) as double)"
+_LINES = f"select doc_id, cast(block_index as int) as block_index, description, {_num('q')} as quantity, {_num('p')} as unit_price, {_num('m')} as amount, regexp_extract(a, '([A-Z]{{3}})', 1) as currency from k"
+_FIELDS = f"{_B}, f as (select doc_id, cast(block_index as int) as block_index, case " + " ".join(f"when regexp_matches(left(content, strpos(content, ':') - 1), '{p}') then '{n}'" for n, p in LABELS.items()) + " end as field, trim(substring(content, strpos(content, ':') + 1)) as value from b where strpos(content, ':') > 1), g as (select * from f where field is not null and value <> '')"
+
 SQL = {
+    "q_table_lines": f"with {_CELLS} {_LINES}",
+    "q_line_units": f"with {_CELLS}, l as ({_LINES}) select description, currency, count(*) as n_lines, count(distinct doc_id) as n_docs from l group by 1, 2",
+    "q_fields": f"with {_FIELDS} select * from g",
+    "q_totals": rf"with {_FIELDS}, t as (select regexp_extract(value, '([A-Z]{{3}})', 1) as currency, regexp_replace(regexp_replace(value, '[A-Z]{{3}}', '', 'g'), '\s', '', 'g') as n from g where field = 'total'), r as ({_READ('n', 't')}) select currency, count(*) as n_totals, count(*) filter (v is null) as n_unread, cast(sum(v) as decimal(38,2)) as total from r group by 1",
+    "q_field_consensus": "with o as (" + " union all ".join(f"select doc_id as key, '{f}' as field, trim({f}) as value from document_inventory where trim({f}) <> '' and doc_id is not null" for f in ["document_class", "payable_status", "scripts_detected", "language_hints", "po_number_candidates"]) + ") select key, field, case when count(distinct value) = 1 then max(value) end as value, count(distinct value) as n_values, count(*) as n_seen from o group by 1, 2",
     "q_blocks": f"with {_B} select doc_id, cast(block_index as int) as block_index, content, doc_id || ':text:' || left(sha256(doc_id || '|text|' || content || '|' || block_index), 12) as evidence_id from b",
     "q_lexicon_blocks": f"with {_B} select doc_id, " + ", ".join(f"count(*) filter (regexp_matches(content, '{p}')) as {n}" for n, p in LEXICONS.items()) + " from b group by doc_id",
     "q_document_class": "with c as (select doc_id, " + ", ".join(f"{_COUNT(p)} as {n}" for n, p in LEXICONS.items()) + """ from documents)

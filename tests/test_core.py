@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from tallyweave.functions import text as X
 from tallyweave.operators import blocks as B
 from tallyweave.operators import consensus as C
+from tallyweave.operators import extract as R
 from tallyweave.operators import layout as L
 from tallyweave.operators import matching as M
 from tallyweave.operators.skew import hot_keys, salted_join
@@ -116,3 +117,30 @@ def test_entry(spark):
     q, s = entry.queries(), entry.oracle_sql()
     assert set(s) <= set(q) and len(q) > 40
     assert entry.entry(spark).count() > 0
+
+
+def test_extraction(spark):
+    lines = ["toner | 3 | 1.200,50 | 3601,50 EUR", "Description | Quantity | Unit price | Amount", "a  2  3.00  6.00", "12 | 1 | 2 | 3", "Total: EUR 3 601,50", ": x", "b | x | 1 | 2", None]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "doc_id long, block_index int, content string")
+    assert [tuple(r)[2:] for r in R.table_lines(df).orderBy("block_index").collect()] == [("toner", 3.0, 1200.5, 3601.5, "EUR"), ("a", 2.0, 3.0, 6.0, "")]
+    got = R.labelled(df, {"total": "(?i)total"}).first()
+    assert (got.field, got.value) == ("total", "EUR 3 601,50")
+    assert tuple(spark.createDataFrame([(got.value,)], "v string").select(*R.money(F.col("v"))).first()) == ("EUR", Decimal("3601.5"))
+    v = spark.createDataFrame([(1, "$"), (2, "$"), (3, "EUR"), (4, "$")], "k long, code string")
+    h = spark.createDataFrame([(1, "USD"), (1, None), (2, "USD"), (2, "GHS"), (3, "USD")], "k long, hint string")
+    assert {r.k: r.code for r in R.contexts(v, "k", "code", h, "hint").collect()} == {1: "USD", 2: "$", 3: "EUR", 4: "$"}
+    cells = spark.createDataFrame([(1, i, x, 0.0, "c") for i, x in enumerate((5.0, 9.0, 30.0))], "page_id long, cell_id long, x double, y double, content string")
+    assert [r.bucket for r in L.x_buckets(cells, 10.0).orderBy("cell_id").collect()] == [1, 1, 2]
+
+
+def test_streams(spark):
+    from tallyweave.operators.orphans import OrphanState, step
+    from tallyweave.streaming import streams
+
+    d = "/root/testdata/sf0.001"
+    refs = streams.table_stream(spark, d, "po_master").select(F.col("po_row_id").alias("ref_id"), F.col("supplier_id").alias("ref_key"), F.col("created_at").alias("ref_at"))
+    parents = spark.read.parquet(f"{d}/suppliers.parquet").select(F.col("supplier_row_id").alias("parent_id"), F.col("supplier_id").alias("ref_key"), F.col("loaded_at").alias("valid_from"), F.col("deleted_at").alias("valid_to"))
+    state = streams.orphans_on_stream(refs, step(OrphanState(), new_parents=parents))
+    assert state.orphans().count() == entry.queries()["p3_found"](spark, d).count()
+    seen = streams.first_seen(streams.table_stream(spark, d, "events").select(F.col("event_id").alias("evidence_id"), "ts"))
+    assert streams.run_all(seen, "append").count() == spark.read.parquet(f"{d}/events.parquet").select("event_id").distinct().count()
