@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.graph import classes
+from tallyweave.operators.skew import salted_join
 from tallyweave.session import cut
 
 # Words for kinds of streets and their abbreviations, one class per kind.
@@ -200,10 +201,11 @@ def with_towns(df: DataFrame) -> DataFrame:
     """
     lookup = F.create_map(*(F.lit(x) for pair in FAMILY.items() for x in pair))
     df = df.withColumn("_family", F.when(F.col("kind") == "avenue", F.when(F.col("postcode").rlike("^[0-9]{5}$"), "romance").otherwise("en")).otherwise(F.coalesce(lookup[F.col("kind")], F.lit(""))))
-    named = df.where("postcode <> '' and town <> ''").groupBy("postcode", "_family", "town").agg(F.count(F.lit(1)).alias("n"))
-    usual = named.groupBy("postcode", "_family").agg(F.max_by("town", F.struct("n", "town")).alias("usual"))
+    df = df.withColumn("_code", F.when(F.col("postcode") != "", F.concat_ws("|", "postcode", "_family")))
+    named = df.where("_code is not null and town <> ''").groupBy("_code", "town").agg(F.count(F.lit(1)).alias("n"))
+    usual = named.groupBy("_code").agg(F.max_by("town", F.struct("n", "town")).alias("usual"))
     near = F.levenshtein("town", "usual") <= F.greatest(F.lit(2), F.length("usual") / 4)
-    return df.join(usual, ["postcode", "_family"], "left").withColumn("town", F.when(F.col("usual").isNotNull() & ((F.col("town") == "") | near), F.col("usual")).otherwise(F.col("town"))).drop("usual", "_family")
+    return salted_join(df, usual, "_code", "left", spread=F.xxhash64("rec")).withColumn("town", F.when(F.col("usual").isNotNull() & ((F.col("town") == "") | near), F.col("usual")).otherwise(F.col("town"))).drop("usual", "_family", "_code")
 
 
 def skeleton(word: str) -> str:
@@ -295,7 +297,7 @@ def locations(records: DataFrame, window: int = 12) -> DataFrame:
     ones are one location. Null and blank addresses have no location. Repeated rows share theirs. Copies never enter a window, so
     a location that holds any share of the rows costs no more than its spellings.
     """
-    rows = with_towns(parsed(records))
+    rows = with_towns(cut(parsed(records)))
     rows = cut(rows.select("rec", F.xxhash64(*PARTS).alias("rep"), *PARTS))
     reps = rows.groupBy("rep").agg(*(F.first(p).alias(p) for p in PARTS))
     reps = cut(reps)
@@ -304,11 +306,13 @@ def locations(records: DataFrame, window: int = 12) -> DataFrame:
         found = neighbours(reps, order, window)
         links = found if links is None else links.unionByName(found)
     member = classes(links.distinct())
-    return rows.join(member, rows["rep"] == member["node"], "left").select("rec", F.coalesce("label", "rep").alias("location"))
+    member = member.select(F.col("node").alias("rep"), "label")
+    return salted_join(rows.select("rec", "rep"), member, "rep", "left", spread=F.xxhash64("rec")).select("rec", F.coalesce("label", "rep").alias("location"))
 
 
 def location_pairs(records: DataFrame, window: int = 12) -> DataFrame:
-    """(rec_a, rec_b), rec_a < rec_b: all pairs of records of one location, repeated rows included."""
+    """(rec_a, rec_b), rec_a < rec_b: all pairs of records of one location, repeated rows included; a hot location's rows are salted."""
     at = cut(locations(records, window))
     other = at.select(F.col("rec").alias("rec_b"), "location")
-    return at.withColumnRenamed("rec", "rec_a").join(other, "location").where("rec_a < rec_b").select("rec_a", "rec_b")
+    pairs = salted_join(at.withColumnRenamed("rec", "rec_a"), other, "location", "inner", spread=F.xxhash64("rec_a"))
+    return pairs.where("rec_a < rec_b").select("rec_a", "rec_b")
