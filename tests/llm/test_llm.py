@@ -186,6 +186,48 @@ def test_close_values_meet_all_within_the_radius(spark):
     assert len(want & got) >= 0.9 * len(want)  # an edit in the middle of a short name may touch both of its parts
 
 
+def test_close_values_equal_a_full_comparison(spark):
+    rnd = random.Random(4)
+
+    def edited(s, alphabet):
+        for _ in range(rnd.randrange(4)):
+            k = rnd.randrange(len(s))
+            s = rnd.choice([s[:k] + rnd.choice(alphabet) + s[k + 1 :], s[:k] + s[k + 1 :], s[:k] + rnd.choice(alphabet) + s[k:], s[:k] + s[k + 1 : k + 2] + s[k] + s[k + 2 :]]) or "ab"
+        return s
+
+    def values(rows):
+        out = []
+        for v in sorted(set(rows)):
+            lo, hi = E.bits(E.qgrams(v[1:].partition("|")[2] if v[0] == "a" else v[1:]))
+            out.append((v, lo, hi))
+        return out
+
+    left, right = ["npevsen", "nfirnas"], ["npesven", "nfinras"]
+    for n in [*range(3, 22)] * 8:
+        for field, head, alphabet in (("n", "", "abdegiklmnoprstuv"), ("i", "", "0123456789"), ("a", rnd.choice(["7|", "1234|"]), "abdegiklmnoprstuv")):
+            s = "".join(rnd.choice(alphabet) for _ in range(n))
+            left += [field + head + edited(s, alphabet), f"v{n}00000"]
+            right += [field + head + edited(s, alphabet), f"v{n}00000"]
+    a, b = values(left), values(right)
+
+    def close(x, y):
+        if x[0][0] != y[0][0] or x[0][0] == "a" and x[0].split("|")[0] != y[0].split("|")[0]:
+            return False
+        long, u, v = len(x[0]) > E.LONG, x[0], y[0]
+        d = list(range(len(v) + 1))
+        for i, p in enumerate(u, 1):
+            row = [i]
+            for j, q in enumerate(v, 1):
+                row.append(min(row[-1] + 1, d[j] + 1, d[j - 1] + (p != q)))
+            d = row
+        apart = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x[1:], y[1:]))
+        return u == v or u[0] != "v" and d[-1] <= E.EDITS + long and apart <= 6 + 2 * long
+
+    want = {(x[0], y[0]) for x in a for y in b if close(x, y)}
+    made = [spark.createDataFrame(rows, "value string, lo long, hi long").withColumn("codes", F.array().cast("array<long>")) for rows in (a, b)]
+    assert {(r.value, r.r_value) for r in E.close_values(*made).collect()} == want and ("npevsen", "npesven") in want
+
+
 def test_names():
     assert E.name_parts("Fa. Trunku & Vumruk Bürobedarf Gesellschaft mit beschränkter Haftung") == E.name_parts("Trunku und Vumruk Bürobedarf GmbH")
     assert E.vat_digits("GH-A-V.AT-04128O516") == E.vat_digits("GHA-VAT-041280516") and E.iban_digits("de 00 12") == "0012"
