@@ -172,6 +172,15 @@ def test_entities(spark):
     assert E.match_entities(o.limit(0), m).count() == 0 and E.match_entities(o, m.limit(0)).count() == 0
 
 
+def test_values_that_many_suppliers_share_still_match(spark):
+    cols = "name string, vat_id string, bank_iban string, address string"
+    rows = [(f"S{i}", f"{a}{b}pelun Trading Ltd", "GB041555111", None, None) for i, (a, b) in enumerate((a, b) for a in ("Ha", "Ke", "Lo", "Mi", "Nu", "Pa", "Re") for b in ("bo", "da", "fi", "gu", "ke", "lu", "mo"))]
+    m = spark.createDataFrame([*rows, *((f"T{i}", "Fandgik GmbH", None, "DE007275417479593406", None) for i in range(50))], f"supplier_id string, {cols}")
+    o = spark.createDataFrame([(1, None, "GB 0415 5511 1", None, None), (2, None, None, "DE00 7275 4174 7959 3406", None)], f"obs_id long, {cols}")
+    got = {(r.obs_id, r.supplier_id) for r in E.match_entities(o, m).collect()}
+    assert got == {(1, f"S{i}") for i in range(49)} | {(2, f"T{i}") for i in range(50)}
+
+
 def test_close_values_meet_all_within_the_radius(spark):
     rnd = random.Random(1)
     letters = "abdegiklmnoprstuv"
