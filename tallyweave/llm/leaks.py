@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from tallyweave.llm.addresses import osa, skeleton
 from tallyweave.llm.language import normal
 
-#: Words of a seed; a seed is telling if no more than RARE items hold it.
+#: Words of a seed; a seed is telling, and a word a fact, if no more than RARE items of different text hold it.
 SEED, RARE = 3, 3
 #: Characters of item texts that one pass takes as a broadcast; more items are taken in further passes over the corpus.
 BLOCK_CHARS = 16_000_000
@@ -31,32 +31,59 @@ def tokens(text: str) -> list[str]:
     return (text if text.isascii() else MARKS.sub("", text)).split()
 
 
+def held_by(texts: Iterable[str]) -> tuple[Counter, Counter]:
+    """How many of the texts hold each word, and each seed."""
+    words, seeds = Counter(), Counter()
+    for t in texts:
+        ws = tokens(t)
+        words.update(set(ws))
+        seeds.update(set(zip(ws, ws[1:], ws[2:])))
+    return words, seeds
+
+
 @dataclass
 class Index:
-    """Words of the items as numbers, their telling seeds as sorted codes with the items that hold them, and each item's facts: words that few items hold."""
+    """Words of the items as numbers, seeds as sorted codes with the items that hold them, and each item's facts: words that few items hold.
+
+    Telling seeds are held by few items. An item with a stretch of `words` words that has fewer than three facts or telling seeds (other
+    items hold the same passage) is plain, and all its seeds are kept.
+    """
 
     vocabulary: dict[str, int] = field(default_factory=dict)
     items: dict[int, list[str]] = field(default_factory=dict)
     codes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     holders: list[list[int]] = field(default_factory=list)
+    telling: list[bool] = field(default_factory=list)
     facts: dict[int, set[int]] = field(default_factory=dict)
+    plain: set[int] = field(default_factory=set)
 
     @staticmethod
-    def of(rows: list[tuple[int, str]]) -> Index:
+    def of(rows: list[tuple[int, str]], counts: tuple[Counter, Counter] | None = None, words: int = 25) -> Index:
+        """counts: held_by all items, of which rows may be a part."""
         index = Index(items={i: tokens(t) for i, t in rows if t})
-        for ws in index.items.values():
+        n_words, n_seeds = counts or held_by(t for _, t in rows if t)
+        for i, ws in index.items.items():
             for w in ws:
                 index.vocabulary.setdefault(w, len(index.vocabulary))
+            fact, seed = [n_words[w] <= RARE for w in ws], [n_seeds[x] <= RARE for x in zip(ws, ws[1:], ws[2:])]
+            if any(sum(fact[k : k + words]) < 3 or sum(seed[k : k + words - SEED + 1]) < 3 for k in range(len(ws) - words + 1)):
+                index.plain.add(i)
         v, held = len(index.vocabulary), defaultdict(set)
+        rare = set()
         for i, ws in index.items.items():
             ids = [index.vocabulary[w] for w in ws]
             for k in range(len(ids) - SEED + 1):
-                held[(ids[k] * v + ids[k + 1]) * v + ids[k + 2]].add(i)
-        telling = sorted((c, sorted(s)) for c, s in held.items() if len(s) <= RARE)
-        index.codes = np.array([c for c, _ in telling], np.int64)
-        index.holders = [s for _, s in telling]
-        n = Counter(index.vocabulary[w] for ws in index.items.values() for w in set(ws))
-        index.facts = {i: {x for x in (index.vocabulary[w] for w in ws) if n[x] <= RARE} for i, ws in index.items.items()}
+                few = n_seeds[tuple(ws[k : k + SEED])] <= RARE
+                if few or i in index.plain:
+                    code = (ids[k] * v + ids[k + 1]) * v + ids[k + 2]
+                    held[code].add(i)
+                    if few:
+                        rare.add(code)
+        found = sorted((c, sorted(s)) for c, s in held.items())
+        index.codes = np.array([c for c, _ in found], np.int64)
+        index.holders = [s for _, s in found]
+        index.telling = [c in rare for c, _ in found]
+        index.facts = {i: {index.vocabulary[w] for w in ws if n_words[w] <= RARE} for i, ws in index.items.items()}
         return index
 
 
@@ -154,8 +181,8 @@ def tiles(a: list[int], b: list[int], least: int = 2) -> list[tuple[int, int, in
     return sorted(out)
 
 
-def passage(item: Words, doc: list[str], fact: list[bool], gap: int = 45) -> tuple[int, float, float]:
-    """(words, share, facts): the most words of the item that doc holds in the item's order and in one place, their share of the item's words from first to last, and that of the facts among them.
+def passage(item: Words, doc: list[str], fact: list[bool], gap: int = 45) -> tuple[int, float, float, int]:
+    """(words, share, facts, of): the most words of the item that doc holds in the item's order and in one place, their share of the item's words from first to last, that of the facts among them, and how many facts those are.
 
     Doc's words that misread an item's word count as that word. Tiles follow each other in both texts with at most `gap` other
     words of doc between them.
@@ -179,7 +206,7 @@ def passage(item: Words, doc: list[str], fact: list[bool], gap: int = 45) -> tup
     for f in fact:
         upto.append(upto[-1] + f)
     best: list[tuple[int, int, int]] = []
-    top = (0, 0.0, 0.0)
+    top = (0, 0.0, 0.0, 0)
     for i, (k, q, m) in enumerate(found):
         own = upto[k + m] - upto[k]
         total, first, facts = m, k, own
@@ -188,7 +215,7 @@ def passage(item: Words, doc: list[str], fact: list[bool], gap: int = 45) -> tup
             if k0 + m0 <= k and q0 + m0 <= q and q - q0 - m0 <= gap and k - k0 - m0 <= 12 and best[j][0] + m > total:
                 total, first, facts = best[j][0] + m, best[j][1], best[j][2] + own
         best.append((total, first, facts))
-        top = max(top, (total, total / (k + m - first), facts / max(1, upto[k + m] - upto[first])))
+        top = max(top, (total, total / (k + m - first), facts / max(1, upto[k + m] - upto[first]), upto[k + m] - upto[first]))
     return top
 
 
@@ -197,27 +224,32 @@ def leaks(items: DataFrame, docs: DataFrame, words: int = 25, share: float = 0.5
 
     n_words: words of the item in its order and in one place, at least `words`; share and facts: least part that they are of the item's words, and
     of its facts, between first and last, which sentences of the same build with other facts miss (with few items most words are held by
-    few of them and tell no facts; then plain_share is the least part of the words); coverage: n_words over the item's words. Only documents with
-    telling seeds of an item are tiled; whole texts are searched, and a text with the same seeds in several places is tiled at each.
-    Items of fewer than `words` words, null and empty texts give no row. Repeated documents each give a row. Items go to all tasks in
+    few of them and tell no facts, and a passage of several items has less than three; then plain_share is the least part of the words); coverage: n_words over the item's words. Only documents with
+    telling seeds of an item, or any seeds of a plain one (see Index), are tiled; whole texts are searched, and a text with the same seeds in several places is tiled at each.
+    Items of fewer than `words` words, null and empty texts give no row. Repeated documents each give a row, and
+    so do items of equal text, which count as one. What is telling is counted over all items. Items go to all tasks in
     blocks of at most `block_chars` characters, so a broadcast has a fixed bound however many items there are.
     """
     spark = docs.sparkSession
-    rows, blocks, size = [], [], 0
+    same: dict[str, list[int]] = {}
     for r in items.select("item_id", "item_text").toLocalIterator():
         if r[1]:
-            if size + len(r[1]) > block_chars and rows:
-                blocks.append(rows)
-                rows, size = [], 0
-            rows.append((r[0], r[1]))
-            size += len(r[1])
+            same.setdefault(" ".join(tokens(r[1])), []).append(r[0])
+    counts = held_by(same)
+    rows, blocks, size = [], [], 0
+    for text, ids in same.items():
+        if size + len(text) > block_chars and rows:
+            blocks.append(rows)
+            rows, size = [], 0
+        rows.append((len(rows), text, ids))
+        size += len(text)
     blocks.append(rows)
     out = None
     for block in blocks:
-        shared = spark.sparkContext.broadcast(Index.of(block))
+        shared = spark.sparkContext.broadcast((Index.of([r[:2] for r in block], counts, words), [r[2] for r in block]))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            ix = shared.value
+            ix, ids_of = shared.value
             v = len(ix.vocabulary)
             words_of: dict[int, Words] = {}
             for b in batches:
@@ -239,31 +271,31 @@ def leaks(items: DataFrame, docs: DataFrame, words: int = 25, share: float = 0.5
                     where = defaultdict(list)
                     for h, k, p in zip(hit.tolist(), doc_of.tolist(), pos[hit].tolist()):
                         for item in ix.holders[p]:
-                            where[k, item].append(h - starts[k])
+                            where[k, item].append((h - starts[k], ix.telling[p]))
                     for (k, item), at in where.items():
                         if len(ix.items[item]) < words or len(at) < 3:
                             continue
                         reach = len(ix.items[item]) + 60
-                        groups, group = [], [at[0]]
+                        groups, group = [], at[:1]
                         for p in at[1:]:
-                            if p - group[-1] > reach:
+                            if p[0] - group[-1][0] > reach:
                                 groups.append(group)
                                 group = []
                             group.append(p)
                         groups.append(group)
                         own, held = ix.facts[item], []
                         for g in groups:
-                            lo, hi = max(0, g[0] - reach), min(len(docs_[k]), g[-1] + reach)
-                            if len(g) >= 3 and len(own.intersection(flat[starts[k] + lo : starts[k] + hi])) >= 3:
+                            lo, hi = max(0, g[0][0] - reach), min(len(docs_[k]), g[-1][0] + reach)
+                            if len(g) >= 3 and (item in ix.plain or sum(t for _, t in g) >= 3 and len(own.intersection(flat[starts[k] + lo : starts[k] + hi])) >= 3):
                                 if item not in words_of:
                                     words_of[item] = Words(ix.items[item])
                                 fact = [get(w) in own for w in ix.items[item]]
                                 found = passage(words_of[item], docs_[k][lo:hi], fact)
                                 telling = sum(fact) <= 0.6 * len(fact)
-                                if found[0] >= words and (found[1] >= share and found[2] >= facts if telling else found[1] >= plain_share):
+                                if found[0] >= words and (telling and found[1] >= share and found[2] >= facts or (not telling or found[3] < 3) and found[1] >= plain_share):
                                     held.append(found[0])
                         if held:
-                            res.append((item, ids[k], max(held), max(held) / len(ix.items[item])))
+                            res += [(i, ids[k], max(held), max(held) / len(ix.items[item])) for i in ids_of[item]]
                 cols = list(zip(*res)) if res else [[], [], [], []]
                 yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.float64())], names=["item_id", "doc_id", "n_words", "coverage"])
 

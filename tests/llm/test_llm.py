@@ -366,6 +366,17 @@ def test_leaks(spark):
     assert K.leaks(i.limit(0), d).count() == 0 and K.leaks(i, d.limit(0)).count() == 0
 
 
+def test_leaks_of_items_that_share_their_text(spark):
+    rnd = random.Random(6)
+    other = lambda: " ".join("".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(30))
+    items = [(i, ITEM) for i in range(6)] + [(10 + i, other() + " " + OTHER) for i in range(5)] + [(20 + i, other()) for i in range(9)]
+    docs = [(1, "Dear all " + ITEM + " and so on"), (2, "Dear all " + OTHER + " and so on"), (3, "Dear all and so on")]
+    i, d = spark.createDataFrame(items, "item_id long, item_text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    want = {(n, 1) for n in range(6)} | {(10 + n, 2) for n in range(5)}
+    for size in (K.BLOCK_CHARS, 10, 700):
+        assert {(r.item_id, r.doc_id) for r in K.leaks(i, d, block_chars=size).collect()} == want
+
+
 # ---- pieces
 
 
