@@ -45,8 +45,8 @@ def held_by(texts: Iterable[str]) -> tuple[Counter, Counter]:
 class Index:
     """Words of the items as numbers, seeds as sorted codes with the items that hold them, and each item's facts: words that few items hold.
 
-    Telling seeds are held by few items. An item with a stretch of `words` words that has fewer than three facts or telling seeds (other
-    items hold the same passage) is plain, and all its seeds are kept.
+    Telling seeds are held by few items. An item with a stretch of `words` words that has fewer than three telling seeds (other items
+    hold the same passage) is plain, and all its seeds are kept; one with such a stretch of fewer than three facts is factless.
     """
 
     vocabulary: dict[str, int] = field(default_factory=dict)
@@ -56,6 +56,7 @@ class Index:
     telling: list[bool] = field(default_factory=list)
     facts: dict[int, set[int]] = field(default_factory=dict)
     plain: set[int] = field(default_factory=set)
+    factless: set[int] = field(default_factory=set)
 
     @staticmethod
     def of(rows: list[tuple[int, str]], counts: tuple[Counter, Counter] | None = None, words: int = 25) -> Index:
@@ -66,8 +67,11 @@ class Index:
             for w in ws:
                 index.vocabulary.setdefault(w, len(index.vocabulary))
             fact, seed = [n_words[w] <= RARE for w in ws], [n_seeds[x] <= RARE for x in zip(ws, ws[1:], ws[2:])]
-            if any(sum(fact[k : k + words]) < 3 or sum(seed[k : k + words - SEED + 1]) < 3 for k in range(len(ws) - words + 1)):
+            stretches = range(len(ws) - words + 1)
+            if any(sum(seed[k : k + words - SEED + 1]) < 3 for k in stretches):
                 index.plain.add(i)
+            if any(sum(fact[k : k + words]) < 3 for k in stretches):
+                index.factless.add(i)
         v, held = len(index.vocabulary), defaultdict(set)
         rare = set()
         for i, ws in index.items.items():
@@ -286,7 +290,7 @@ def leaks(items: DataFrame, docs: DataFrame, words: int = 25, share: float = 0.5
                         own, held = ix.facts[item], []
                         for g in groups:
                             lo, hi = max(0, g[0][0] - reach), min(len(docs_[k]), g[-1][0] + reach)
-                            if len(g) >= 3 and (item in ix.plain or sum(t for _, t in g) >= 3 and len(own.intersection(flat[starts[k] + lo : starts[k] + hi])) >= 3):
+                            if len(g) >= 3 and (item in ix.plain or sum(t for _, t in g) >= 3) and (item in ix.plain or item in ix.factless or len(own.intersection(flat[starts[k] + lo : starts[k] + hi])) >= 3):
                                 if item not in words_of:
                                     words_of[item] = Words(ix.items[item])
                                 fact = [get(w) in own for w in ix.items[item]]
