@@ -43,12 +43,13 @@ def p4_languages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with the items that they hold, the words held and their share of the item."""
+    """Documents with the items that they hold, the words held in order, their share of the item, and the words held in any order."""
     return leaks.leaks(table(spark, d, "eval_items"), table(spark, d, "documents"))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return p8_leaks(spark, d).select("item_id", "doc_id").distinct()
+    """Documents that hold a passage in the item's order; reordered ones are in p8_leaks only."""
+    return p8_leaks(spark, d).where("n_words > 0").select("item_id", "doc_id").distinct()
 
 
 def budget(spark: SparkSession, d: str, name: str) -> tuple[int, int]:

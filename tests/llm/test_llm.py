@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 from datetime import datetime
 
@@ -356,13 +357,14 @@ def test_leaks(spark):
         (6, None, "x"),
         (7, "", "x"),
         (8, filler * 40 + ITEM, "x"),
-        (9, " ".join(words[20:]) + filler + " ".join(words[:20]), "x"),
+        (9, filler + " ".join([*words[20:], "see", "above", *words[:20]]), "x"),
     ]
     items = [(10, ITEM), (11, "too short to leak"), (12, None), (13, ITEM + " and more")]
     i, d = spark.createDataFrame(items, "item_id long, item_text string"), spark.createDataFrame(docs, "doc_id long, text string, item_id string")
-    got = sorted((r.item_id, r.doc_id) for r in K.leaks(i, d).collect())
-    assert got == sorted([(n, k) for n in (10, 13) for k in (1, 2, 5, 1, 8)])
-    assert sorted((r.item_id, r.doc_id) for r in K.leaks(i, d, block_chars=10).collect()) == got
+    rows = sorted((r.item_id, r.doc_id, r.n_words, r.any_order) for r in K.leaks(i, d).collect())
+    assert sorted((n, k) for n, k, m, _ in rows if m) == sorted([(n, k) for n in (10, 13) for k in (1, 2, 5, 1, 8)])
+    assert {(n, k) for n, k, m, _ in rows if not m} == {(10, 9), (13, 9)}  # the halves are there, in the other order
+    assert sorted((r.item_id, r.doc_id, r.n_words, r.any_order) for r in K.leaks(i, d, block_chars=10).collect()) == rows
     assert K.leaks(i.limit(0), d).count() == 0 and K.leaks(i, d.limit(0)).count() == 0
 
 
@@ -377,6 +379,28 @@ def test_leaks_of_items_that_share_their_text(spark):
         assert {(r.item_id, r.doc_id) for r in K.leaks(i, d, block_chars=size).collect()} == want
 
 
+def test_leaks_against_brute_force(spark):
+    """Verbatim runs of 25 words are found wherever they start, also with their marks as blanks or gone, and shorter runs or other sentences of the same build are not."""
+    rnd = random.Random(9)
+    name = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(3)).capitalize()
+    sentence = lambda: f"When the {rnd.choice(['site surveys', 'label rolls', 'filter mats'])} reached {name()} on {rnd.randrange(10, 29)}.0{rnd.randrange(1, 10)}.2024, the clerk counted {rnd.randrange(99)} crates with a {rnd.choice(['green', 'grey'])} seal, although order K-{rnd.randrange(10000, 99999)} asked for {rnd.randrange(99)} crates with a {rnd.choice(['green', 'grey'])} one."
+    items = [(i, " ".join(sentence() for _ in range(3))) for i in range(40)]
+    docs, want = [], set()
+    for k in range(400):
+        i, text = rnd.choice(items)
+        words = text.split()
+        n = rnd.choice((25, 25, 28, 20))
+        at = rnd.randrange(len(words) - n + 1)
+        part = " ".join(words[at : at + n])
+        part = rnd.choice((part, part.upper(), re.sub(r"[.,-]", " ", part), re.sub(r"[.,-]", "", part), part.replace(" ", "\n")))
+        far = "our goods stay with us until all is paid " * 12
+        docs.append((k, f"Dear all. {sentence()} {far} {part} {far} {sentence()} Yours."))
+        if n >= 25:
+            want.add((i, k))
+    got = K.leaks(spark.createDataFrame(items, "item_id long, item_text string"), spark.createDataFrame(docs, "doc_id long, text string")).where("n_words > 0").collect()
+    assert {(r.item_id, r.doc_id) for r in got} == want
+
+
 # ---- pieces
 
 
