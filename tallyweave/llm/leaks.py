@@ -124,16 +124,25 @@ def shortened(word: str) -> set[str]:
 def keys(word: str) -> set[str]:
     """Texts of which two words share one if one is the other slightly misread."""
     out = {"=" + word.translate(SHAPE)}
-    if len(word) >= 4 and not any(c.isdigit() for c in word):
+    if len(word) >= 4:
         out |= shortened(word) | {"~" + skeleton(word)}
+    elif any(c.isdigit() for c in word):
+        out |= shortened(word)
     return out
 
 
 def like(word: str, other: str) -> bool:
-    """word is `other` slightly misread: one edit or swap, or letters that scanners confuse; numbers only by look-alikes."""
+    """word is `other` slightly misread: one edit or swap, or letters that scanners confuse.
+
+    Another digit is another number; look-alikes, swapped digits, a letter among digits and, in long numbers, a digit too many or too few are misread.
+    """
     if word.translate(SHAPE) == other.translate(SHAPE):
         return True
-    if len(other) < 4 or any(c.isdigit() for c in other):
+    if any(c.isdigit() for c in other):
+        if osa(word, other, 1) > 1:
+            return False
+        return sorted(word) == sorted(other) or (len(other) >= 2 and not word.isdigit()) or (len(other) >= 4 and len(word) != len(other))
+    if len(other) < 4:
         return False
     return skeleton(word) == skeleton(other) or osa(word, other, 1) <= 1
 
@@ -225,12 +234,11 @@ def tiles(a: list[int], b: list[int], least: int = 2, longest: int = 16) -> list
 
 
 def covered(item: Item, parts: Iterable[tuple[int, int, int]]) -> tuple[int, float]:
-    """(words, share): the item's words that the tiles hold whole, and the share of their weight in that of all words from the first to the last."""
+    """(words, share): the item's words that the tiles hold (half of their pieces at least), and the share of their weight in that of all words from the first to the last."""
     places = {k + i for k, _, m in parts for i in range(m)}
     if not places:
         return 0, 0.0
-    whole = Counter(item.word_of[p] for p in places)
-    got = [w for w, n in whole.items() if n == len(item.words[w])]
+    got = [w for w, n in Counter(item.word_of[p] for p in places).items() if 2 * n >= len(item.words[w])]
     if not got:
         return 0, 0.0
     return len(got), sum(item.weights[w] for w in got) / sum(item.weights[min(got) : max(got) + 1])
