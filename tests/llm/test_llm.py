@@ -182,18 +182,26 @@ def test_values_that_many_suppliers_share_still_match(spark):
     assert got == {(1, f"S{i}") for i in range(49)} | {(2, f"T{i}") for i in range(50)}
 
 
-def test_close_values_meet_all_within_the_radius(spark):
+def test_parts_of_all_vectors_within_the_radius_meet():
     rnd = random.Random(1)
-    letters = "abdegiklmnoprstuv"
-    names = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(6, 14))) for _ in range(150)]
-    typos = [n[:k] + rnd.choice(letters) + n[k + 1 :] for n in names for k in [rnd.randrange(len(n))]]
-    col = "name string, vat_id string, bank_iban string, address string"
-    a = E.values(E.encoded(spark.createDataFrame([(i, n, None, None, None) for i, n in enumerate(names)], f"obs_rep long, {col}"), "obs_rep"), "obs_rep")
-    b = E.values(E.encoded(spark.createDataFrame([(i, n, None, None, None) for i, n in enumerate(typos)], f"sup_rep long, {col}"), "sup_rep"), "sup_rep")
-    got = {(r.value, r.r_value) for r in E.close_values(a, b).collect()}
-    stem = lambda n: "n" + E.name_parts(n)[0]
-    want = {(stem(n), stem(t)) for n, t in zip(names, typos)}
-    assert len(want & got) >= 0.9 * len(want)  # an edit in the middle of a short name may touch both of its parts
+    letters, digits, within, apart_too = "abdegiklmnoprstuv", "0123456789", 0, 0
+    for n in [*range(4, 21)] * 60:
+        field = rnd.choice(["name", "iban", "address"])
+        alphabet = digits if field == "iban" else letters
+        x = y = "".join(rnd.choice(alphabet) for _ in range(n))
+        for _ in range(rnd.randrange(1, 4)):
+            k = rnd.randrange(len(y))
+            y = rnd.choice([y[:k] + rnd.choice(alphabet) + y[k + 1 :], y[:k] + y[k + 1 :], y[:k] + rnd.choice(alphabet) + y[k:], y[:k] + y[k + 1 : k + 2] + y[k] + y[k + 2 :]]) or "ab"
+        vx, vy = (E.bits(E.qgrams(v)) for v in (x, y))
+        far = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(vx, vy))
+        head = "7|" if field == "address" else ""
+        met = not set(E.part_keys(field, head + x, *vx, True)).isdisjoint(E.part_keys(field, head + y, *vy, False))
+        if far <= E.radius_of(field, head + x):
+            within += 1
+            assert met, (x, y)
+        else:
+            apart_too += not met
+    assert within > 300 and apart_too > 100
 
 
 def test_close_values_equal_a_full_comparison(spark):
@@ -231,13 +239,37 @@ def test_close_values_equal_a_full_comparison(spark):
                 row.append(min(row[-1] + 1, d[j] + 1, d[j - 1] + (p != q)))
             d = row
         apart = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x[1:], y[1:]))
-        return u == v or u[0] != "v" and d[-1] <= E.EDITS + long and apart <= 6 + 2 * long
+        return u == v or u[0] != "v" and d[-1] <= E.EDITS + long and apart <= E.RADIUS[{f[0]: f for f in E.FIELDS}[u[0]]] + 2 * long
 
     want = {(x[0], y[0]) for x in a for y in b if close(x, y)}
     made = [spark.createDataFrame(rows, "value string, lo long, hi long").withColumn("codes", F.array().cast("array<long>")) for rows in (a, b)]
     assert {(r.value, r.r_value) for r in E.close_values(*made).collect()} == want and ("npevsen", "npesven") in want
 
 
+def test_confidences_say_how_often_matches_are_right(spark):
+    rnd = random.Random(12)
+    name = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(3)).capitalize()
+    master = [(f"S{i}", f"{name()} {rnd.choice(['Media', 'Tools', 'Print'])} Ltd", f"GB0{rnd.randrange(10**8):08}", f"GB00{rnd.randrange(10**16):016}" if rnd.random() < 0.7 else None, f"{rnd.randrange(1, 200)} {name()} Road, {name()}") for i in range(1500)]
+
+    def read(s):
+        if s is None or rnd.random() < 0.45:
+            return None
+        k = rnd.randrange(len(s))
+        return s[:k] + rnd.choice("aeiou" if s[k].isalpha() else "0123456789") + s[k + 1 :] if rnd.random() < 0.25 else s
+
+    listed = [(i, m[0], *map(read, m[1:])) for i, m in enumerate(rnd.choices(master, k=2500))]
+    strangers = [(10_000 + i, None, f"{name()} {rnd.choice(['Media', 'Tools', 'Print'])} Ltd", f"GB0{rnd.randrange(10**8):08}" if rnd.random() < 0.5 else None, None, None) for i in range(800)]
+    cols, truth = "name string, vat_id string, bank_iban string, address string", {r[0]: r[1] for r in listed + strangers}
+    seen = spark.createDataFrame([(r[0], *r[2:]) for r in listed + strangers], f"obs_id long, {cols}")
+    got = E.match_entities(seen, spark.createDataFrame(master, f"supplier_id string, {cols}")).toPandas()
+    right = (got.obs_id.map(truth) == got.supplier_id).astype(float)
+    for low, high in ((0.5, 0.8), (0.8, 0.97), (0.97, 1.01)):
+        band = (got.confidence >= low) & (got.confidence < high)
+        assert band.sum() < 25 or abs(right[band].mean() - got.confidence[band].mean()) < 0.15, (low, band.sum(), right[band].mean(), got.confidence[band].mean())
+    full = {r[0] for r in listed if any(r[2:])}
+    assert right.mean() > 0.95 and right.sum() > 0.85 * len(full)
+
+
 def test_names():
     assert E.name_parts("Fa. Trunku & Vumruk Bürobedarf Gesellschaft mit beschränkter Haftung") == E.name_parts("Trunku und Vumruk Bürobedarf GmbH")
     assert E.vat_digits("GH-A-V.AT-04128O516") == E.vat_digits("GHA-VAT-041280516") and E.iban_digits("de 00 12") == "0012"
