@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 #: A key is hot when it holds more than 1/HOT_SHARE of all rows; there are fewer than HOT_SHARE such keys by definition.
@@ -12,13 +12,12 @@ HOT_SHARE = 64
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> list:
     """Keys of more than 1/share of df's rows, fewer than `share` values whatever the size of df.
 
-    One pass with map-side partial counts. Null keys never count as hot (they join nothing).
+    One pass with map-side partial counts, in which all rows are counted too. Null keys never count as hot (they join nothing).
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
-    if not total:
-        return []
-    return sorted(r[0] for r in counts.where(F.col("_n") * share > total).select(key).collect())
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = Observation()
+    top = counts.observe(total, F.sum("_n").alias("rows")).orderBy(F.desc("_n")).limit(share).collect()
+    return sorted(r[0] for r in top if r[0] is not None and r[1] * share > (total.get["rows"] or 0))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left", salts: int = 32, hot: list | None = None, spread: Column | None = None) -> DataFrame:

@@ -140,7 +140,7 @@ def test_streams(spark):
     d = "/root/testdata/sf0.001"
     refs = streams.table_stream(spark, d, "po_master").select(F.col("po_row_id").alias("ref_id"), F.col("supplier_id").alias("ref_key"), F.col("created_at").alias("ref_at"))
     parents = spark.read.parquet(f"{d}/suppliers.parquet").select(F.col("supplier_row_id").alias("parent_id"), F.col("supplier_id").alias("ref_key"), F.col("loaded_at").alias("valid_from"), F.col("deleted_at").alias("valid_to"))
-    state = streams.orphans_on_stream(refs, step(OrphanState(), new_parents=parents))
+    state = streams.orphans_on_stream(refs, step(OrphanState.new(spark, buckets=2), new_parents=parents))
     assert state.orphans().count() == entry.queries()["p3_found"](spark, d).count()
     seen = streams.first_seen(streams.table_stream(spark, d, "events").select(F.col("event_id").alias("evidence_id"), "ts"))
     assert streams.run_all(seen, "append").count() == spark.read.parquet(f"{d}/events.parquet").select("event_id").distinct().count()
