@@ -6,15 +6,17 @@ import re
 import unicodedata
 from collections import deque
 from collections.abc import Iterator
+from itertools import groupby
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.llm.graph import classes
 from tallyweave.operators.skew import salted_join
-from tallyweave.session import cut
+from tallyweave.session import cut, ship, width
 
 # Words for kinds of streets and their abbreviations, one class per kind.
 KIND_WORDS = {
@@ -165,7 +167,7 @@ def parse(text: str) -> Address:
     return Address(street, kind, number, town, postcode, country)
 
 
-PARTS = ("street", "kind", "number", "town", "postcode")
+PARTS = ("street", "kind", "number", "town", "postcode", "country")
 # Kinds of streets by the language that uses them.
 FAMILIES = {"en": "road street lane close drive", "romance": "rue boulevard chemin largo travessa", "ee": "tee tanav maantee puiestee", "my": "jalan lorong persiaran lebuh", "germanic": "strasse weg platz allee laan kade"}
 FAMILY = {kind: family for family, kinds in FAMILIES.items() for kind in kinds.split()}
@@ -221,13 +223,13 @@ def alike(a: str, b: str, most: int) -> bool:
 
 
 def same_location(a: tuple, b: tuple) -> bool:
-    """Whether two (street, kind, number, town, postcode) denote one location.
+    """Whether two (street, kind, number, town, postcode, country) denote one location.
 
-    The house number with its letter must be equal and present. The kind of street must be equal where both have one. Streets may
+    The house number with its letter must be equal and present, and so must the country where both name one. The kind of street must be equal where both have one. Streets may
     differ by one edit or swap (two, if long and in the same postcode or town), towns by one; a missing town is replaced by an equal
     postcode, and a town that agrees outweighs different postcodes only if the street is spelt alike.
     """
-    if a[2] != b[2] or not a[2] or (a[1] and b[1] and a[1] != b[1]):
+    if a[2] != b[2] or not a[2] or (a[1] and b[1] and a[1] != b[1]) or (a[5] and b[5] and a[5] != b[5]):
         return False
     street, other, code, code2 = a[0], b[0], a[4], b[4]
     same_code = bool(code) and code == code2
@@ -251,59 +253,110 @@ def same_location(a: tuple, b: tuple) -> bool:
     return alike(street, other, 2 if (same_code or a[3] == b[3]) and min(len(street), len(other)) >= 7 else 1)
 
 
-#: Component orders of the passes; a leading '-' reverses the letters.
-PASSES = (("number", "town", "kind", "street"), ("number", "street", "town", "postcode"), ("number", "postcode", "-street", "kind"), ("number", "-street", "kind", "town"))
+#: Component orders of the passes; a leading '-' reverses the letters. The first LEAD components and the next one's first letter make up a run.
+PASSES, LEAD = (("number", "town", "street", "kind"), ("number", "street", "town", "postcode"), ("number", "postcode", "-street", "kind"), ("town", "-street", "number", "kind")), 2
 
 
-def neighbours(reps: DataFrame, order: tuple[str, ...], window: int) -> DataFrame:
-    """Links (a, b) of representatives (rep, *PARTS) that lie within `window` places in the order and denote one location.
+def neighbours(reps: DataFrame, order: tuple[str, ...], window: int, per_task: int) -> DataFrame:
+    """Links (a, b) of representatives (rep, *PARTS) that are neighbours in the order and denote one location.
 
-    Rows are split into ranges of the order and sorted there; each task slides over its range. The first and last `window` rows of
-    each range, twice `window` rows a task at most, are compared once more across the borders.
+    A row is compared with the `window` rows before it, and with all before it of its run: rows that agree in the first LEAD components and in the first
+    letter of the next, so the window grows where a house number and town are dense. Rows are split into ranges of the order of about `per_task` rows and
+    sorted there; each task slides over its range. The last rows of each range meet the first ones of the next in a task of their own for each border.
     """
+    plain = [k.lstrip("-") for k in order]
     keys = [F.reverse(k[1:]) if k[0] == "-" else F.col(k) for k in order] + [F.col("rep")]
     fields = ["rep", *PARTS]
-
-    def links(batches: Iterator[pa.RecordBatch], borders: bool) -> Iterator[pa.RecordBatch]:
-        last: deque = deque(maxlen=window)
-        first, count = [], 0
-        for b in batches:
-            left, right = [], []
-            for row in zip(*(b.column(i).to_pylist() for i in range(len(fields)))):
-                for other in last:
-                    if same_location(row[1:], other[1:]):
-                        left.append(min(row[0], other[0]))
-                        right.append(max(row[0], other[0]))
-                last.append(row)
-                count += 1
-                if borders and len(first) < window:
-                    first.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64()), *(pa.array([None] * len(left), pa.string()) for _ in PARTS)], names=["a", "b", *PARTS])
-        if borders:
-            edge = first + [r for r in last if r not in first]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in edge], pa.int64()), pa.array([None] * len(edge), pa.int64()), *(pa.array([r[i] for r in edge], pa.string()) for i in range(1, 6))], names=["a", "b", *PARTS])
-
-    schema = "a long, b long, " + ", ".join(f"{f} string" for f in PARTS)
-    ranged = reps.select(*fields).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    out = cut(ranged.mapInArrow(lambda x: links(x, True), schema))
-    edges = out.where("b is null").select(F.col("a").alias("rep"), *PARTS).coalesce(1).sortWithinPartitions(*keys)
-    return out.where("b is not null").select("a", "b").unionByName(edges.mapInArrow(lambda x: links(x, False), schema).select("a", "b"))
-
-
-def locations(records: DataFrame, window: int = 12) -> DataFrame:
+    at = [fields.index(k) for k in plain[: LEAD + 1]]
+
+    def run_of(row: tuple) -> tuple:
+        nxt = row[at[LEAD]]
+        return (*(row[i] for i in at[:LEAD]), nxt[-1:] if order[LEAD][0] == "-" else nxt[:1])
+
+    def compared(rows: Iterator[tuple], border: bool = False) -> Iterator[tuple[int, int]]:
+        """Links among sorted rows; of a border (rows behind their side) only those from one side to the other."""
+        last: deque = deque()
+        mine = None
+        for row in rows:
+            if border:
+                side, row = row[0], row[1:]
+            key = run_of(row)
+            mine = mine if mine and mine[0] == key else [key, 0]
+            while len(last) > max(window, mine[1]):
+                last.popleft()
+            for other in last:
+                if border and other[0] == side:
+                    continue
+                them = other[1:] if border else other
+                if same_location(row[1:], them[1:]):
+                    yield min(row[0], them[0]), max(row[0], them[0])
+            last.append((side, *row) if border else row)
+            mine[1] += 1
+
+    def slide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = TaskContext.get().partitionId()
+        head: list[tuple] = []
+        tail: deque = deque()
+        state = {"open": True, "run": None, "n": 0}
+
+        def rows() -> Iterator[tuple]:
+            for b in batches:
+                for row in zip(*(b.column(i).to_pylist() for i in range(len(fields)))):
+                    key = run_of(row)
+                    state["n"] = state["n"] + 1 if key == state["run"] else 1
+                    state["run"] = key
+                    if len(head) < window or run_of(head[0]) == key and len(head) == state["n"] - 1:
+                        head.append(row)
+                    tail.append(row)
+                    while len(tail) > max(window, state["n"]):
+                        tail.popleft()
+                    yield row
+
+        found: list[tuple[int, int]] = []
+        for pair in compared(rows()):
+            found.append(pair)
+            if len(found) == 10_000:
+                yield out_of(found, [])
+                found = []
+        yield out_of(found, [(here, 1, *r) for r in tail] + [(here - 1, 2, *r) for r in head])
+
+    def out_of(links: list[tuple[int, int]], edge: list[tuple]) -> pa.RecordBatch:
+        n, m = len(links), len(edge)
+        cols = [pa.array([x for x, _ in links] + [None] * m, pa.int64()), pa.array([y for _, y in links] + [None] * m, pa.int64())]
+        cols += [pa.array([None] * n + [e[i] for e in edge], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.int64(), *(pa.string() for _ in PARTS)))]
+        return pa.RecordBatch.from_arrays(cols, names=["a", "b", "border", "side", *fields])
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(2 + len(fields)))))
+        found = [pair for _, own in groupby(rows, lambda r: r[0]) for pair in compared((r[1:] for r in own), True)]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    ship(reps.sparkSession)
+    n = max(1, min(width(reps) * 4, reps.count() // per_task))
+    ranged = reps.select(*fields).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = ranged.mapInArrow(slide, "a long, b long, border int, side int, rep long, " + ", ".join(f"{f} string" for f in PARTS))
+    if n == 1:
+        return out.where("b is not null").select("a", "b")
+    out = cut(out)
+    edges = out.where("b is null").select("border", "side", *fields).repartition("border").sortWithinPartitions("border", "side", *keys)
+    return out.where("b is not null").select("a", "b").unionByName(edges.mapInArrow(across, "a long, b long"))
+
+
+def locations(records: DataFrame, window: int = 12, per_task: int = 2_000) -> DataFrame:
     """records (rec, address) -> (rec, location): records of one location share it.
 
     Records whose components are equal are one representative; multi-pass sorted neighbourhoods link representatives, and linked
-    ones are one location. Null and blank addresses have no location. Repeated rows share theirs. Copies never enter a window, so
+    ones are one location. Null and blank addresses give no row; those without a street, a house number or any of town and postcode
+    ('n/a', 'Hauptstr., Berlin') denote no certain place: their location is null. Repeated rows share theirs. Copies never enter a window, so
     a location that holds any share of the rows costs no more than its spellings.
     """
     rows = with_towns(cut(parsed(records)))
-    rows = cut(rows.select("rec", F.xxhash64(*PARTS).alias("rep"), *PARTS))
-    reps = rows.groupBy("rep").agg(*(F.first(p).alias(p) for p in PARTS))
-    reps = cut(reps)
+    certain = (F.col("street") != "") & (F.col("number") != "") & ((F.col("town") != "") | (F.col("postcode") != ""))
+    rows = cut(rows.select("rec", F.when(certain, F.xxhash64(*PARTS)).alias("rep"), *PARTS))
+    reps = cut(rows.where("rep is not null").groupBy("rep").agg(*(F.first(p).alias(p) for p in PARTS)))
     links = None
     for order in PASSES:
-        found = neighbours(reps, order, window)
+        found = neighbours(reps, order, window, per_task)
         links = found if links is None else links.unionByName(found)
     member = classes(links.distinct())
     member = member.select(F.col("node").alias("rep"), "label")
@@ -312,7 +365,7 @@ def locations(records: DataFrame, window: int = 12) -> DataFrame:
 
 def location_pairs(records: DataFrame, window: int = 12) -> DataFrame:
     """(rec_a, rec_b), rec_a < rec_b: all pairs of records of one location, repeated rows included; a hot location's rows are salted."""
-    at = cut(locations(records, window))
+    at = cut(locations(records, window).where("location is not null"))
     other = at.select(F.col("rec").alias("rec_b"), "location")
     pairs = salted_join(at.withColumnRenamed("rec", "rec_a"), other, "location", "inner", spread=F.xxhash64("rec_a"))
     return pairs.where("rec_a < rec_b").select("rec_a", "rec_b")

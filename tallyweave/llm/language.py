@@ -148,14 +148,18 @@ TRAIN_DOCS = 1_600
 
 
 def train(docs: DataFrame, sample: int = TRAIN_DOCS, error: float = 0.01) -> Model:
-    """A model from the labels of at most `sample` labelled documents (least hashes of id), wrong labels among them included.
+    """A model from the labels of at most `sample` labelled documents (least hashes of id and label, one text of each), wrong labels among them included.
 
     A first model is fitted to all paragraphs; those whose label it finds unlikely are left out of the second fit. A fifth of the documents is
     held out for the calibration: the scale that makes confidences most likely, and the least confidence at which no more than
     `error` of the kept paragraphs differ from their (likely) label. Without any labelled document, texts are told apart by nothing
     and every paragraph is rejected.
     """
-    picked = least_hashes(docs.select("doc_id", "text", label(F.col("lang")).alias("lang")).where("lang is not null and text is not null"), F.col("doc_id"), sample).collect()
+    # ids and labels are picked without their texts, which are then read once
+    ids = least_hashes(docs.select(F.col("doc_id").alias("_id"), label(F.col("lang")).alias("_said")).where("_said is not null"), F.concat_ws("|", F.col("_id").cast("string"), "_said"), sample)
+    texts = docs.select("doc_id", "text", label(F.col("lang")).alias("lang")).where("lang is not null and text is not null")
+    texts = texts.join(F.broadcast(ids), (F.col("lang") == F.col("_said")) & (F.col("doc_id") == F.col("_id")), "left_semi")
+    picked = sorted(texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect())
     texts, langs, held = [], [], []
     for i, r in enumerate(picked):
         for p in PARAGRAPH.split(normal(r["text"])):

@@ -128,13 +128,13 @@ def plan(histogram: dict[int, int], capacity: int, bins: int = 128) -> list[tupl
     return sorted(merged.items(), reverse=True)
 
 
-def pack(docs: DataFrame, capacity: int, salts: int = 64) -> DataFrame:
+def pack(docs: DataFrame, capacity: int, salts: int = 8) -> DataFrame:
     """(doc_id, piece_no, container_no, n_tokens) of docs (doc_id, text): whole texts in containers of `capacity` tokens.
 
     A text above the capacity fills whole containers (piece_no 1 and up) and its rest is packed like a text; every other text has one
     row, piece_no 1. Containers are numbered from 1. Null and empty texts take no room and lie in container 1. Repeated rows are packed
-    each. Only the histogram of sizes (at most `capacity` rows) and the plan made from it, at most a few slots per size, reach the driver; texts of one size are
-    numbered in `salts` parts, so that a frequent size costs no single task.
+    each. Only the histogram of sizes (at most `capacity` x `salts` rows, however many documents) and the plan made from it, at most a few slots per size, reach the
+    driver; texts of one size are numbered in `salts` parts, so that a frequent size costs no single task.
     """
     sized = cut(docs.select("doc_id", n_tokens(F.col("text")).alias("n"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt")))
     full, rest = (F.col("n") / capacity).cast("long"), F.col("n") % capacity

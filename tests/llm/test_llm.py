@@ -78,7 +78,7 @@ def test_sizes_in_the_engine_and_outside(spark):
     ],
 )
 def test_address_pairs(a, b, same):
-    x, y = (tuple(A.parse(t))[:5] for t in (a, b))
+    x, y = (tuple(A.parse(t)) for t in (a, b))
     assert A.same_location(x, y) is same and A.same_location(y, x) is same
 
 
@@ -119,7 +119,7 @@ def test_location_pairs_match_brute_force(spark):
     rows += [("n1", None, "c"), ("n2", "  ", "c"), ("z1", "!!", "c")]
     df = spark.createDataFrame(rows, "rec string, address string, location string")
     got = {(r.rec_a, r.rec_b) for r in A.location_pairs(df.repartition(5), window=12).collect()}
-    parsed = {r: tuple(A.parse(a))[:5] for r, a, _ in rows if a and a.strip()}
+    parsed = {r: tuple(A.parse(a)) for r, a, _ in rows if a and a.strip()}
     reps = defaultdict(list)
     for r, p in parsed.items():
         reps[p].append(r)
@@ -450,7 +450,7 @@ def test_pieces_cover_the_text(parts, most, overlap):
     assert at[0][0] == 0 and at[-1][1] == len(spans)
     assert all(n == e - a <= most for a, e, n in at)
     assert all(b[0] == a[1] - overlap and b[1] > a[1] for a, b in zip(at, at[1:]))
-    natural = pieces.boundaries(text, spans)
+    natural = pieces.boundaries(text, pieces.Tokens.of(text))[0].tolist()
     for a, e, _ in at[:-1]:
         assert e in natural or not any(a + overlap < c <= a + most for c in natural)
 
@@ -466,7 +466,7 @@ def test_depths_equal_a_plain_count():
         return v(x) @ v(y) / (np.linalg.norm(v(x)) * np.linalg.norm(v(y)))
 
     s = [cosine(k) for k in cuts]
-    got = pieces.depths(words, cuts, block)
+    got = dict(zip(cuts, pieces.depths(np.array(words), cuts, block)))
     for i, k in enumerate(cuts):
         left = i
         while left and s[left - 1] >= s[left]:
@@ -477,6 +477,26 @@ def test_depths_equal_a_plain_count():
         assert got[k] == pytest.approx(s[left] - s[i] + s[right] - s[i])
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.sampled_from("aBb1_ .,\n\tไİß\U0001d400\U0001f600\u00a0"), max_size=60))
+def test_tokens_in_arrays(text):
+    got, want = pieces.Tokens.of(text), list(TOKEN.finditer(text))
+    assert list(zip(got.starts.tolist(), got.ends.tolist())) == [m.span() for m in want]
+    assert got.lines.tolist()[1:] == [text[a.end() : b.start()].count("\n") for a, b in zip(want, want[1:])]
+    low = ["".join(x if len(x := c.lower()) == 1 or ord(c) > 0xFFFF else c for c in m[0]) for m in want]
+    assert len(set(zip(low, got.words.tolist()))) == len(set(low)) == len(set(got.words.tolist()))
+
+
+def test_pieces_end_in_the_deepest_valley():
+    """Two topics of sentences: the cut lies where they meet, not at the paragraph ends within them."""
+    rnd = random.Random(5)
+    topic = lambda words: [" ".join(rnd.choices(words.split(), k=9)).capitalize() + "." for _ in range(14)]
+    one, two = topic("goods boxes pallets truck driver depot crates seal"), topic("interest bank account due sum payment rate month")
+    text = " ".join(one[:5]) + "\n\n" + " ".join(one[5:]) + " " + " ".join(two[:6]) + "\n\n" + " ".join(two[6:])
+    a, e, _ = pieces.split_text(text, 200, 0, fill=0.3)[0]
+    assert text[a:e] == " ".join(one[:5]) + "\n\n" + " ".join(one[5:])
+
+
 def test_split_documents(spark):
     long = ("A sentence of some words here. " * 40 + "\n\n") * 6
     df = spark.createDataFrame([(1, long, 3), (2, "short", 3), (3, None, 3), (4, "", 3), (5, "x" * 5000, 3), (1, long, 3), (6, "w " * 300_000, 3)], "doc_id long, text string, piece_no int")
