@@ -49,6 +49,11 @@ def identifier_key(col: Column) -> Column:
     return F.regexp_replace(F.upper(col), SEPARATORS, "")
 
 
+def account_key(col: Column) -> Column:
+    """Upper case without white space and hyphens; dots stay."""
+    return F.regexp_replace(F.upper(col), r"[\s\-]+", "")
+
+
 def unaccented(col: Column) -> Column:
     """Text without combining marks (an Arrow function)."""
     return _unaccented(col)
@@ -122,3 +127,59 @@ def png_size(col: Column) -> Column:
     """(width, height) from the header of a PNG image, null for other bytes."""
     part = lambda at: F.conv(F.hex(F.substring(col, at, 4)), 16, 10).try_cast("int")
     return F.when(F.hex(F.substring(col, 1, 8)) == "89504E470D0A1A0A", F.struct(part(17).alias("width"), part(21).alias("height")))
+
+
+def rate_value(col: Column) -> Column:
+    """A rate as a double of four decimals (half to even), 0 where it cannot be read."""
+    return F.coalesce(F.bround(F.trim(F.replace(col, F.lit("%"), F.lit(""))).try_cast("double"), 4), F.lit(0.0))
+
+
+# Sources that evidence may come from.
+SOURCES = ("native", "ocr", "vision", "derived")
+
+
+def source_key(col: Column) -> Column:
+    """A source's name in lower case without blanks around it, null if it is none of SOURCES."""
+    s = F.lower(code_key(col))
+    return F.when(s.isin(*SOURCES), s)
+
+
+def without_order_prefix(col: Column) -> Column:
+    """An order number without a leading 'PO', 'purchase order' or '#'."""
+    return F.regexp_replace(squeezed(col), r"(?i)^(?:po ?[:#-]?|purchase ?order ?[:#-]?|#) *", "")
+
+
+def tax_name(col: Column) -> Column:
+    """The name in a tax row: without a leading number, percentages, numbers in brackets, an amount at the end and marks around it."""
+    s = F.regexp_replace(col, r"(?i)^\s*(?:\([ivx0-9]+\)|[0-9]+\.)\s*", "")
+    s = F.regexp_replace(s, r"\(\s*[0-9]+(?:[.,][0-9]+)?\s*%\s*\)|[0-9]+(?:[.,][0-9]+)?\s*%", "")
+    s = F.regexp_replace(s, r"(?:GHS|EUR|USD|GBP|ZAR|MYR|[€$£])\s*[0-9., ]+$|[0-9., ]+ *(?:GHS|EUR|USD|GBP|ZAR|MYR|[€$£])$", "")
+    return F.btrim(s, F.lit(" :-#"))
+
+
+def tax_kind(name: Column) -> Column:
+    return F.when(name.rlike(r"(?i)\b(vat|mwst|iva|tva|btw|levy)\b"), "VAT").otherwise("Tax")
+
+
+def item_kind(col: Column) -> Column:
+    """SERVICE by the words of a description, else GOODS."""
+    return F.when(col.rlike(r"(?i)\b(fee|charge|service|setup|transport|catering|consulting|maintenance|support|meal|hire|hours|runs|cleaning|surveys)\b"), "SERVICE").otherwise("GOODS")
+
+
+def n_words(col: Column) -> Column:
+    return F.regexp_count(col, F.lit(r"\S+"))
+
+
+def n_letters(col: Column) -> Column:
+    """Characters that are no white space."""
+    return F.length(F.regexp_replace(col, r"\s", ""))
+
+
+def currency_in_context(code: Column, context: Column) -> Column:
+    """An ISO code as it is; a sign by what else the text says: '$' is USD or GHS, '€' EUR and '£' GBP where the context names their land, else the sign."""
+    said = lambda p: context.rlike(p)
+    c = currency_key(code)
+    return (
+        F.when(c.rlike("^[A-Z]{3}$"), c).when(c.isin("GH¢", "GH₵", "GHC"), "GHS").when((c == "$") & said(r"(?i)\b(usd|us\$|united states)\b"), "USD").when((c == "$") & said(r"(?i)(ghana|\bghs\b)"), "GHS")
+        .when((c == "€") & said(r"(?i)\b(eur|germany|deutschland|france|portugal|nederland|eesti)\b"), "EUR").when((c == "£") & said(r"(?i)\b(gbp|united kingdom|\buk)\b"), "GBP").otherwise(c)
+    )

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -93,45 +91,23 @@ def paired(left: DataFrame, right: DataFrame, by: list[str], same: list[str], or
     return left.select(*cols).groupBy(*by).cogroup(right.select(*(F.col(c).alias(c) for c in cols)).groupBy(*by)).applyInPandas(fold, ", ".join([*(f"{k} {kinds[k]}" for k in by), "left_id long", "right_id long"]))
 
 
-def page_groups(docs: DataFrame, number: str, page: str) -> DataFrame:
-    """(doc_id, page_no, group_no) of docs (doc_id, pages array<string>): pages put together into logical documents, in one scan per document.
 
-    A page joins the newest open group with which it shares a document number, or whose last page it follows by its 'k of n'; it never joins
-    one with other numbers only, nor, as page 1, one that has begun. number: pattern of a document number; page: pattern with the
-    groups k and n. Null pages count and hold nothing. Documents stay where they are read; nothing is shuffled.
-    """
-    import re
-
-    import pyarrow as pa
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        num, pat = re.compile(number), re.compile(page)
-        for b in batches:
-            doc, at, grp = [], [], []
-            for d, pages in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                groups: list[dict] = []
-                for i, text in enumerate(pages or (), 1):
-                    numbers = set(num.findall(text or ""))
-                    of = [(int(k), int(n)) for k, n in pat.findall(text or "")]
-                    k, n = of[-1] if of else (None, None)
-                    for g in reversed(groups):
-                        if numbers and g["numbers"] and not numbers & g["numbers"]:
-                            continue
-                        if k == 1 and g["last"] is not None:
-                            continue
-                        shared = bool(numbers & g["numbers"])
-                        follows = k is not None and g["last"] is not None and g["n"] == n and k == g["last"] + 1
-                        if shared or follows or (not numbers and k is None):
-                            break
-                    else:
-                        g = {"id": len(groups) + 1, "numbers": set(), "last": None, "n": None}
-                        groups.append(g)
-                    g["numbers"] |= numbers
-                    if k is not None:
-                        g["last"], g["n"] = k, n
-                    doc.append(d)
-                    at.append(i)
-                    grp.append(g["id"])
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(at, pa.int32()), pa.array(grp, pa.int32())], names=["doc_id", "page_no", "group_no"])
-
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "pages").mapInArrow(run, "doc_id long, page_no int, group_no int")
+def evidence_union(df: DataFrame, key: str, ids: str) -> DataFrame:
+    """(key, n_ids, ids): the distinct non-blank ids of all rows of a key, sorted; ids is a column of arrays. Ids are made distinct before they are gathered."""
+    one = df.where(F.col(key).isNotNull()).select(key, F.explode(ids).alias("_id")).select(key, F.trim("_id").alias("_id")).where("_id <> ''").distinct()
+    return one.groupBy(key).agg(F.count(F.lit(1)).alias("n_ids"), F.array_sort(F.collect_list("_id")).alias("ids"))
+
+
+def value_evidence(obs: DataFrame) -> DataFrame:
+    """(key, field, n_values, observations): fields on which observations differ, with each value and all that it was seen in: 'value<id,id>' joined by '|', sorted."""
+    seen = obs.groupBy("key", "field", "value").agg(F.array_join(F.array_sort(F.collect_set("evidence")), ",").alias("ids"))
+    one = F.concat("value", F.lit("<"), "ids", F.lit(">"))
+    return seen.groupBy("key", "field").agg(F.count(F.lit(1)).alias("n_values"), F.array_join(F.array_sort(F.collect_list(one)), "|").alias("observations")).where("n_values > 1")
+
+
+def priority_consensus(df: DataFrame, key: str, value: str, first: Column, unknown: str) -> DataFrame:
+    """(key, value, n_values): what the rows of a key agree on, only those where `first` holds if there are any; `unknown` counts if nothing else was seen; `unknown` where they differ."""
+    v, known = F.col(value), F.coalesce(F.col(value), F.lit(unknown)) != unknown
+    seen = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.bool_or(F.coalesce(first, F.lit(False)) & v.isNotNull()).alias("_any"), F.collect_set(F.when(known & first, v)).alias("_first"), F.collect_set(F.when(known, v)).alias("_all"))
+    left = F.when(F.col("_any"), F.col("_first")).otherwise(F.col("_all"))
+    return seen.select(F.col(key).alias("key"), F.when(F.size(left) == 1, F.element_at(left, 1)).otherwise(unknown).alias("value"), F.size(left).alias("n_values"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import to_decimal
@@ -42,3 +42,33 @@ def contexts(values: DataFrame, key: str, code: str, hints: DataFrame, hint: str
     """values with `code` replaced, where it is ambiguous ('$' and the like), by the one code that the same key's hints name; kept if they name none or several."""
     one = hints.where(F.col(hint).isNotNull()).groupBy(key).agg(F.when(F.countDistinct(hint) == 1, F.min(hint)).alias("_one"))
     return values.join(one, key, "left").withColumn(code, F.when(F.length(code) != 3, F.coalesce("_one", F.col(code))).otherwise(F.col(code))).drop("_one")
+
+
+def table_rows(blocks: DataFrame, columns: str, total: str, tax: str) -> DataFrame:
+    """(doc_id, block_index, line_no, cells): the rows of each text's table: what stands below the first head and above the first total behind it.
+
+    A head has at least two words of `columns` (a pattern); rows with fewer than three cells, with a percentage beside a word of `tax`, or that are a number alone
+    are no lines. Lines are numbered from 1. A text's blocks are one array, so nothing is shuffled but by doc_id.
+    """
+    own = Window.partitionBy("doc_id")
+    at = lambda c: F.min(F.when(c, F.col("block_index"))).over(own)
+    df = blocks.withColumn("_head", at(F.regexp_count("content", F.lit(columns)) >= 2))
+    df = df.withColumn("_total", at(F.col("content").rlike(total) & (F.col("block_index") > F.col("_head"))))
+    df = df.where("block_index > _head and (_total is null or block_index < _total)").withColumn("cells", F.transform(F.split(F.trim("content"), CELLS), lambda x: F.trim(x)))
+    rate = F.col("content").rlike(r"[0-9]+(?:[.,][0-9]+)?\s*%") & F.col("content").rlike(tax)
+    lines = df.where((F.size("cells") >= 3) & ~rate & ~F.col("content").rlike(r"^\s*[0-9]+\.?\s*$"))
+    return lines.select("doc_id", "block_index", F.row_number().over(own.orderBy("block_index")).alias("line_no"), "cells")
+
+
+#: Fields and the patterns that find them, the value being the first group.
+KEY_FIELDS = {
+    "vat_id": r"\b((?:DE|GB|FR|PT|NL|EE|ES)[ -]?[0-9]{8,11}(?:B[0-9]{2})?)\b", "iban": r"\b([A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,7}(?: ?[0-9]{1,3})?)\b", "email": r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})",
+    "po_number": r"(?i)(?:purchase order|bestellung|\bpo)[ :#-]+([A-Z0-9/-]*[0-9][A-Z0-9/-]*)", "invoice_number": r"(?i)(?:invoice|document|beleg|rechnungs) ?(?:number|nummer|no\.?)[ :]+([A-Z0-9/-]*[0-9][A-Z0-9/-]*)",
+    "iso_date": r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b",
+}
+
+
+def key_fields(docs: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """(doc_id, field, value) of docs (doc_id, text): the first value of every field in the whole text; fields that it lacks give no row. No shuffle."""
+    rows = F.array(*(F.struct(F.lit(f).alias("field"), F.regexp_extract("text", p, 1).alias("value")) for f, p in patterns.items()))
+    return docs.where("text is not null").select("doc_id", F.inline(F.filter(rows, lambda r: r["value"] != "")))

@@ -110,7 +110,7 @@ def _json_list(v: str) -> str:
     return f"coalesce(case json_type({v}) when 'VARCHAR' then case when json_valid({text}) then {one.format(f'cast({text} as json)')} end else {one.format(v)} end, [])"
 
 
-_FEED = f"""
+FEED_SQL = f"""
 j as (select feed_id, master_name, cast(payload as json) as v from master_feed where json_valid(payload)),
 r as (select feed_id, master_name, {_json_list("coalesce(case when json_type(v) = 'OBJECT' then coalesce(json_extract(v, '$.purchase_orders'), json_extract(v, '$.companies')) end, v)")} as recs from j),
 e as (select feed_id, master_name, unnest(recs) as o, generate_subscripts(recs, 1) as p from r),
@@ -126,7 +126,7 @@ SQL = {
     "p3_found": _ORPHANS + "select * from r",
     "p3_monthly": _MONTHLY,
     "p3_replayed": _MONTHLY,
-    "p6_found": f"""with {_FEED}
+    "p6_found": f"""with {FEED_SQL}
         select 'chart_of_books' as src_table, book_row_id as row_id, unit_pos || '.' || location_pos as node_path, coalesce(u.business_unit_code, '') as parent_key, coalesce(l.location_code, '') as child_key from ({_LOCATIONS}) where l is not null
         union all select 'po_master', po_row_id, cast(line_pos as varchar), coalesce(po_id, ''), coalesce(l.line_id, '') from ({_LINES}) where l is not null
         union all select 'master_feed', feed_id, p || '.' || i, coalesce(parent, ''), coalesce(json_extract_string(l, '$.line_id'), '') from fl where json_type(l) = 'OBJECT'

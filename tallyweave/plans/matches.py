@@ -11,30 +11,6 @@ from tallyweave.operators import matching as M
 from tallyweave.operators import nested
 from tallyweave.sources.tables import table
 
-SIGNALS = ["vat", "iban", "email", "name"]
-
-
-def _keys(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col(key).alias(name), X.identifier_key(F.col("vat_id")).alias("vat"), X.identifier_key(F.col("bank_iban")).alias("iban"), F.lower(X.code_key(F.col("email"))).alias("email"), X.name_key(F.col("name")).alias("name"))
-
-
-def q_supplier_match(spark: SparkSession, d: str) -> DataFrame:
-    """Observed suppliers against the master on four exact keys."""
-    return M.match_by_signals(_keys(table(spark, d, "observed_supplier_identity"), "obs_id", "obs_id"), _keys(table(spark, d, "suppliers"), "supplier_id", "master_id"), SIGNALS)
-
-
-def q_supplier_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    return q_supplier_match(spark, d).groupBy("status", "method").agg(F.count(F.lit(1)).alias("n_obs"))
-
-
-def q_po_match(spark: SparkSession, d: str) -> DataFrame:
-    """Order numbers of the inventory against the orders: number as written, then in upper case, then the order's id."""
-    obs = table(spark, d, "document_inventory").select("inventory_id", F.explode(F.split("po_number_candidates", "[|,;]")).alias("n")).select(F.concat_ws(":", F.col("inventory_id").cast("string"), X.code_key(F.col("n"))).alias("obs_id"), X.code_key(F.col("n")).alias("n")).where("n <> ''").distinct()
-    master = table(spark, d, "po_master").select(F.col("po_row_id").alias("master_id"), "po_number", "po_id")
-    upper = lambda c: F.upper(X.code_key(F.col(c)))
-    return M.cascade(obs, master, [("exact_number", F.col("n"), F.col("po_number")), ("upper_number", upper("n"), upper("po_number")), ("exact_id", F.col("n"), F.col("po_id")), ("upper_id", upper("n"), upper("po_id"))])
-
-
 def q_location_match(spark: SparkSession, d: str) -> DataFrame:
     """Location records against the chart of books: by location code, held against unit and company."""
     obs = table(spark, d, "location_records").select(F.col("location_row_id").alias("obs_id"), "location_code", "business_unit_code", "company_code")
@@ -42,14 +18,6 @@ def q_location_match(spark: SparkSession, d: str) -> DataFrame:
     return M.hierarchical(obs, leaves, "location_code", ["business_unit_code", "company_code"])
 
 
-def q_tax_match(spark: SparkSession, d: str) -> DataFrame:
-    """Taxes of order lines against a master of nation and rate: code first, then nation and rate, then rate alone."""
-    n, li, s = table(spark, d, "nation"), table(spark, d, "lineitem"), table(spark, d, "supplier")
-    master = li.select("l_suppkey", "l_tax").join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey")).where("n_nationkey % 3 <> 0").select(F.concat_ws("-", "n_name", F.format_string("%.2f", "l_tax")).alias("master_id"), "n_name", F.format_string("%.2f", "l_tax").alias("rate")).distinct()
-    obs = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("obs_id"), "n_name", F.format_string("%.2f", (F.col("s_suppkey") % 9) / 100).alias("rate"), F.when(F.col("s_suppkey") % 5 == 0, F.concat_ws("-", "n_name", F.lit("0.04"))).alias("code"))
-    return M.cascade(obs, master, [("exact_code", F.col("code"), F.col("master_id")), ("country_and_rate", F.concat_ws("|", "n_name", "rate"), F.concat_ws("|", "n_name", "rate")), ("rate", F.col("rate"), F.col("rate"))])
-
-
 def q_master_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return M.duplicates(table(spark, d, "suppliers").select("supplier_id"), ["supplier_id"])
 
@@ -106,46 +74,17 @@ def q_set_operations(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-QUERIES = {f.__name__: f for f in (q_supplier_match, q_supplier_conflicts, q_po_match, q_location_match, q_tax_match, q_master_duplicates, q_master_violations, q_orphan_po, q_consensus, q_conflicts, q_first_known, q_complementary, q_paired_lines, q_set_operations)}
-
-_ID = r"regexp_replace(upper({0}), '[\s\-.]+', '', 'g')"
-_NAME = r"trim(trim(regexp_replace(replace(lower(nfc_normalize(name)), 'ß', 'ss'), '[\s\pZ]+', ' ', 'g')), ' ''.,;:()[]{}""')"
-_SIG = lambda t, k: rf"select {k}, {_ID.format('vat_id')} as vat, {_ID.format('bank_iban')} as iban, lower(regexp_replace(email, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')) as email, {_NAME} as name from {t}"
-_LONG = " union all ".join(f"select {{0}}, {1 << i} as bit, {i} as f, {s} as v from {{1}} where {s} <> ''" for i, s in enumerate(SIGNALS))
-_PAIRS = [(i, j) for i in range(4) for j in range(i + 1, 4)]
-_MATCH = f"""with o as ({_SIG('observed_supplier_identity', 'obs_id')}), m as ({_SIG('suppliers', 'supplier_id as master_id')}), ol as ({_LONG.format('obs_id', 'o')}), ml as (select distinct master_id, f, v from ({_LONG.format('master_id', 'm')})),
-p as (select obs_id, master_id, bit_or(bit) as mask from ol join ml using (f, v) group by 1, 2),
-n as (select obs_id, {', '.join(f'count(*) filter (mask & {1 << i} > 0) as n{i}, min(master_id) filter (mask & {1 << i} > 0) as m{i}' for i in range(4))}, {', '.join(f'count(*) filter (mask & {(1 << i) | (1 << j)} = {(1 << i) | (1 << j)}) as b{i}_{j}' for i, j in _PAIRS)} from p group by 1),
-r as (select o.obs_id, case {' '.join(f"when n{i} > 0 and n{j} > 0 and b{i}_{j} = 0 then 'conflicting_{SIGNALS[i]}_{SIGNALS[j]}'" for i, j in _PAIRS)} {' '.join(f"when n{i} = 1 then 'exact_{s}' when n{i} > 1 then 'ambiguous_{s}'" for i, s in enumerate(SIGNALS))} else 'none' end as method, m0, m1, m2, m3 from (select distinct obs_id from o) o left join n using (obs_id)),
-z as (select obs_id, case when method = 'none' then 'no_match' when method like 'exact%' then 'matched' else 'ambiguous' end as status, case method {' '.join(f"when 'exact_{s}' then m{i}" for i, s in enumerate(SIGNALS))} end as master_id, method from r)
-"""
-
-
-def _cascade_sql(rules: list[tuple[str, str, str]]) -> str:
-    """SQL of a cascade over o (obs_id, ...) and m (master_id, ...)."""
-    idx = ", ".join(f"i{k} as (select {mk} as k, count(distinct master_id) as n, min(master_id) as m from m where {mk} <> '' group by 1)" for k, (_, _, mk) in enumerate(rules))
-    joins = " ".join(f"left join i{k} on i{k}.k = {ok}" for k, (_, ok, _) in enumerate(rules))
-    pick = lambda f, e: "case " + " ".join(f"when i{k}.n > 0 then {f(k)}" for k in range(len(rules))) + f" else {e} end"
-    status = pick(lambda k: f"case when i{k}.n = 1 then 'matched' else 'ambiguous' end", "'no_match'")
-    master, method = pick(lambda k: f"case when i{k}.n = 1 then i{k}.m end", "null"), pick(lambda k: f"'{rules[k][0]}'", "'none'")
-    return f"{idx} select o.obs_id, {status} as status, {master} as master_id, {method} as method from o {joins}"
-
+QUERIES = {f.__name__: f for f in (q_location_match, q_master_duplicates, q_master_violations, q_orphan_po, q_consensus, q_conflicts, q_first_known, q_complementary, q_paired_lines, q_set_operations)}
 
 _TRIM = r"regexp_replace({0}, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')"
 _FIELDS = ["name", "vat_id", "country", "email", "bank_iban", "address"]
 _OBS = "ob as (" + " union all ".join(f"select supplier_id as key, '{f}' as field, trim({f}) as value, supplier_row_id as evidence from suppliers where trim({f}) <> '' and supplier_id is not null" for f in _FIELDS) + "), sv as (select key, field, value, count(*) as n_seen, min(evidence) as first_evidence from ob group by 1, 2, 3)"
 
 SQL = {
-    "q_supplier_match": _MATCH + "select * from z",
-    "q_supplier_conflicts": _MATCH + "select status, method, count(*) as n_obs from z group by 1, 2",
-    "q_po_match": f"with c as (select inventory_id, unnest(string_split_regex(po_number_candidates, '[|,;]')) as n from document_inventory), o as (select distinct inventory_id || ':' || {_TRIM.format('n')} as obs_id, {_TRIM.format('n')} as n from c where {_TRIM.format('n')} <> ''), m as (select po_row_id as master_id, po_number, po_id from po_master), "
-    + _cascade_sql([("exact_number", "o.n", "po_number"), ("upper_number", "upper(o.n)", f"upper({_TRIM.format('po_number')})"), ("exact_id", "o.n", "po_id"), ("upper_id", "upper(o.n)", f"upper({_TRIM.format('po_id')})")]),
     "q_location_match": """with lv as (select distinct l.location_code as location_code, u.business_unit_code as bu, company_code as co from (select company_code, u, unnest(u.locations) as l from (select company_code, unnest(business_units) as u from chart_of_books)) where l.location_code <> ''),
         c as (select location_row_id as obs_id, count(lv.location_code) as n0, count(*) filter (lv.location_code is not null and (coalesce(business_unit_code, '') = '' or business_unit_code = bu)) as n1,
         count(*) filter (lv.location_code is not null and (coalesce(business_unit_code, '') = '' or business_unit_code = bu) and (coalesce(company_code, '') = '' or company_code = co)) as n2 from location_records r left join lv on lv.location_code = r.location_code group by 1)
         select obs_id, case when n0 = 0 then 'no_match' when n2 = 1 then 'matched' else 'ambiguous' end as status, n2 as n_leaves, case when n0 = 0 then 'none' when n1 = 0 then 'conflicting_business_unit_code' when n2 = 0 then 'conflicting_company_code' when n2 = 1 then 'exact_leaf' else 'ambiguous_leaf' end as method from c""",
-    "q_tax_match": "with m as (select distinct n_name || '-' || printf('%.2f', l_tax) as master_id, n_name, printf('%.2f', l_tax) as rate from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey where n_nationkey % 3 <> 0), o as (select s_suppkey as obs_id, n_name, printf('%.2f', (s_suppkey % 9) / 100.0) as rate, case when s_suppkey % 5 = 0 then n_name || '-0.04' end as code from supplier join nation on s_nationkey = n_nationkey), "
-    + _cascade_sql([("exact_code", "o.code", "master_id"), ("country_and_rate", "o.n_name || '|' || o.rate", "n_name || '|' || rate"), ("rate", "o.rate", "rate")]),
     "q_master_duplicates": "select supplier_id, count(*) as n_rows from suppliers group by 1 having count(*) > 1",
     "q_master_violations": " union all ".join(f"select supplier_row_id, '{n}' as rule from suppliers where not coalesce({c}, false)" for n, c in {"name_required": "trim(name) <> ''", "vat_required": "trim(vat_id) <> ''", "country_two_letters": "length(country) = 2", "email_has_at": "email like '%@%'"}.items()),
     "q_orphan_po": f"with o as (select {_TRIM.format('supplier_id')} as supplier_id, count(*) as n_orders from po_master group by 1), s as (select supplier_id, count(*) as n_rows from suppliers group by 1) select coalesce(o.supplier_id, s.supplier_id) as supplier_id, n_orders, n_rows from o full join s on o.supplier_id = s.supplier_id",

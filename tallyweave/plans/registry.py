@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyweave.plans import feeds, general, layouts, matches, texts
+from tallyweave.plans import evidence, feeds, general, layouts, masters, matches, pages, texts
 
-FAMILIES = (general, texts, layouts, matches, feeds)
+FAMILIES = (general, texts, layouts, masters, matches, pages, evidence, feeds)
 
 
 def queries() -> dict:

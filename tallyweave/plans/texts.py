@@ -117,12 +117,6 @@ def q_evidence_cache(spark: SparkSession, d: str) -> DataFrame:
     return B.misses(_docs(spark, d).select("doc_id", "source"), table(spark, d, "document_inventory").where("doc_id is not null"), ["doc_id"])
 
 
-def q_page_groups(spark: SparkSession, d: str) -> DataFrame:
-    """Paragraphs put together into logical documents by numbers and page marks."""
-    pages = _docs(spark, d).select("doc_id", F.split("text", "\n\n").alias("pages"))
-    return C.page_groups(pages, NUMBER, r"(?:Page|Seite|Página|Pagina) ([0-9]+) (?:of|von|sur|de|van) ([0-9]+)")
-
-
 #: Labels of document fields, as patterns that Spark and DuckDB read alike; the first that matches names the field.
 LABELS = {"total": "(?i)(total|gesamtbetrag|totaal)", "number": "(?i)(number|nummer|numero|n.mero|num.ro)$", "issued": "(?i)^(issued|ausgestellt|emitido|.tabli|opgemaakt|v.ljastatud|fecha)", "due": "(?i)^(payable|zahlbar|pagar|. r.gler|te betalen|tasuda)"}
 
@@ -154,7 +148,7 @@ def q_field_consensus(spark: SparkSession, d: str) -> DataFrame:
     return C.consensus(C.observations(table(spark, d, "document_inventory"), "doc_id", fields, "inventory_id"))
 
 
-QUERIES = {f.__name__: f for f in (q_blocks, q_lexicon_blocks, q_document_class, q_doc_scripts, q_amounts, q_dates, q_decimals, q_label_values, q_scope_fill, q_look_ahead, q_topk_numbers, q_first_blocks, q_source_totals, q_inventory_summary, q_currency_rank, q_file_filter, q_evidence_cache, q_page_groups, q_table_lines, q_fields, q_totals, q_line_units, q_field_consensus)}
+QUERIES = {f.__name__: f for f in (q_blocks, q_lexicon_blocks, q_document_class, q_doc_scripts, q_amounts, q_dates, q_decimals, q_label_values, q_scope_fill, q_look_ahead, q_topk_numbers, q_first_blocks, q_source_totals, q_inventory_summary, q_currency_rank, q_file_filter, q_evidence_cache, q_table_lines, q_fields, q_totals, q_line_units, q_field_consensus)}
 
 _B = "b as (select doc_id, i - 1 as block_index, content from (select doc_id, unnest(string_split(text, chr(10))) as content, generate_subscripts(string_split(text, chr(10)), 1) as i from documents) where trim(content) <> '')"
 _COUNT = lambda p: f"len(regexp_extract_all(text, '{p}'))"

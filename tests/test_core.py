@@ -78,8 +78,6 @@ def test_consensus(spark):
     a = spark.createDataFrame([(1, 1, "p", None), (1, 2, None, "7")], "doc long, n long, q string, r string")
     b = spark.createDataFrame([(1, 8, "p", "7"), (1, 9, None, "7")], "doc long, n long, q string, r string")
     assert sorted((r.left_id, r.right_id) for r in C.paired(a, b, ["doc"], ["q", "r"], "n").collect()) == [(1, 8), (2, 9)]
-    pages = spark.createDataFrame([(1, ["INV-1 Page 1 of 2", "Page 2 of 2", "INV-2 Page 1 of 1", None]), (2, None)], "doc_id long, pages array<string>")
-    assert [r.group_no for r in C.page_groups(pages, "INV-[0-9]", "Page ([0-9]+) of ([0-9]+)").orderBy("page_no").collect()] == [1, 1, 2, 2]
 
 
 def test_sources_and_sinks(spark, tmp_path):
