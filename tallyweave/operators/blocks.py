@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.text import evidence_id
@@ -34,33 +34,33 @@ def best_class(counts: DataFrame, weights: dict[str, float], least: float) -> Da
     return counts.select("doc_id", F.when(top["score"] >= least, top["name"]).otherwise("unknown").alias("class"), top["score"].alias("score"))
 
 
-def _in_document() -> Window:
-    return Window.partitionBy("doc_id").orderBy("block_index")
+def numbered(text: str = "text") -> Column:
+    """A text's non-blank lines as an array of (block_index, content), numbered from 0 over all lines."""
+    return F.filter(F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("block_index"), x.alias("content"))), lambda b: F.trim(b["content"]) != "")
 
 
-def label_values(df: DataFrame, label: str) -> DataFrame:
-    """(doc_id, block_index, label, value): blocks that hold nothing but a label, with the content of the next block."""
-    return (
-        df.withColumn("value", F.lead("content").over(_in_document()))
-        .where(F.col("content").rlike(label) & F.col("value").isNotNull())
-        .select("doc_id", "block_index", F.trim("content").alias("label"), "value")
-    )
+def label_values(docs: DataFrame, label: str) -> DataFrame:
+    """(doc_id, block_index, label, value) of docs (doc_id, text): blocks that hold nothing but a label, with the content of the next block. No shuffle."""
+    pairs = F.zip_with("b", F.slice("b", F.lit(2), F.greatest(F.size("b"), F.lit(1))), lambda x, y: F.struct(x["block_index"].alias("block_index"), F.trim(x["content"]).alias("label"), y["content"].alias("value"), x["content"].rlike(label).alias("ok")))
+    found = F.filter(pairs, lambda p: p["ok"] & p["value"].isNotNull())
+    return docs.where("text is not null").select("doc_id", numbered().alias("b")).select("doc_id", F.inline(F.transform(found, lambda p: F.struct(p["block_index"].alias("block_index"), p["label"].alias("label"), p["value"].alias("value")))))
 
 
-def scope_filled(df: DataFrame, headings: dict[str, str]) -> DataFrame:
-    """df with `scope`: the name of the last heading (name -> pattern) at or above each block of its document, null before the first."""
-    found = F.coalesce(*(F.when(F.col("content").rlike(p), name) for name, p in headings.items()))
-    return df.withColumn("_here", found).withColumn("scope", F.last("_here", ignorenulls=True).over(_in_document().rowsBetween(Window.unboundedPreceding, 0))).drop("_here")
+def scope_filled(docs: DataFrame, headings: dict[str, str]) -> DataFrame:
+    """(doc_id, block_index, content, scope) of docs (doc_id, text): the name of the last heading (name -> pattern) at or above each block, null before the first. No shuffle."""
+    named = lambda x: F.coalesce(*(F.when(x["content"].rlike(p), name) for name, p in headings.items()))
+    heads = F.filter(F.transform("b", lambda x: F.struct(x["block_index"].alias("at"), named(x).alias("name"))), lambda h: h["name"].isNotNull())
+    df = docs.where("text is not null").select("doc_id", numbered().alias("b")).select("doc_id", "b", heads.alias("h"))
+    last = lambda x: F.try_element_at(F.filter("h", lambda h: h["at"] <= x["block_index"]), F.lit(-1))["name"]
+    return df.select("doc_id", F.inline(F.transform("b", lambda x: F.struct(x["block_index"].alias("block_index"), x["content"].alias("content"), last(x).alias("scope")))))
 
 
-def look_ahead(df: DataFrame, label: Column, accept: Column, reach: int = 5) -> DataFrame:
-    """(doc_id, block_index, found_index, found): for blocks that are labels, the first of the next `reach` blocks that is acceptable, null if none is.
-
-    Blocks that are not acceptable keep their place in the window (structs, as null values would be skipped).
-    """
-    ahead = F.collect_list(F.struct("block_index", "content", accept.alias("ok"))).over(_in_document().rowsBetween(1, reach))
-    hit = F.try_element_at(F.filter(ahead, lambda b: b["ok"]), F.lit(1))
-    return df.withColumn("_label", label).withColumn("_hit", hit).where("_label").select("doc_id", "block_index", F.col("_hit.block_index").alias("found_index"), F.col("_hit.content").alias("found"))
+def look_ahead(docs: DataFrame, label: str, accept: str, reach: int = 5) -> DataFrame:
+    """(doc_id, block_index, found_index, found) of docs (doc_id, text): for blocks that match `label`, the first of the next `reach` blocks that matches `accept`, null if none does. No shuffle."""
+    df = docs.where("text is not null").select("doc_id", numbered().alias("b"))
+    ahead = lambda i: F.try_element_at(F.filter(F.slice("b", i + 2, F.lit(reach)), lambda y: y["content"].rlike(accept)), F.lit(1))
+    rows = F.transform("b", lambda x, i: F.when(x["content"].rlike(label), F.struct(x["block_index"].alias("block_index"), ahead(i)["block_index"].alias("found_index"), ahead(i)["content"].alias("found"))))
+    return df.select("doc_id", F.inline(F.filter(rows, lambda r: r.isNotNull())))
 
 
 def misses(requested: DataFrame, cached: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def rows(cells: DataFrame, tolerance: float = 12.0) -> DataFrame:
     """(page_id, cell_id, row_no): cells from top to bottom; a new row begins where y is more than `tolerance` away from the row's first cell.
 
-    The rule depends on each row's anchor, so a page's cells are folded in order; a page is the unit of work and its cells lie in one array.
+    The rule depends on each row's anchor, so the distinct heights of a page, few beside its cells, are folded in order to the heights at which rows begin; a
+    cell lies in the row of the last such height above it.
     Cells with a null y give no row.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("y", "x", "cell_id")))
-    start = F.expr("cast(struct(null as anchor, 0 as row_no, array() as done) as struct<anchor:double,row_no:int,done:array<struct<cell_id:bigint,row_no:int>>>)")
-
-    def add(acc: Column, c: Column) -> Column:
-        new = acc["anchor"].isNull() | (F.abs(c["y"] - acc["anchor"]) > tolerance)
-        n = acc["row_no"] + F.when(new, 1).otherwise(0)
-        return F.struct(
-            F.when(new, c["y"]).otherwise(acc["anchor"]).cast("double").alias("anchor"), n.alias("row_no"), F.concat(acc["done"], F.array(F.struct(c["cell_id"].cast("long").alias("cell_id"), n.alias("row_no")))).alias("done")
-        )
-
-    return cells.where("y is not null").groupBy("page_id").agg(F.aggregate(ordered, start, add)["done"].alias("done")).select("page_id", F.inline("done"))
+    heights = F.array_sort(F.collect_set("y"))
+    starts = F.aggregate(heights, F.expr("cast(array() as array<double>)"), lambda acc, y: F.when((F.size(acc) == 0) | (y - F.try_element_at(acc, F.lit(-1)) > tolerance), F.concat(acc, F.array(y))).otherwise(acc))
+    known = cells.where("y is not null").select("page_id", "cell_id", F.col("y").cast("double").alias("y"))
+    pages = known.groupBy("page_id").agg(starts.alias("_starts"))
+    return known.join(pages, "page_id").select("page_id", "cell_id", F.size(F.filter("_starts", lambda s: s <= F.col("y"))).alias("row_no"))
 
 
 def row_histogram(cells: DataFrame, step: float = 8.0, least: int = 1) -> DataFrame:

@@ -123,6 +123,8 @@ bl as (select feed_id, p, i, parent, unnest(ls) as l, generate_subscripts(ls, 1)
 """
 
 SQL = {
+    "p6_feed_orders": f"""with {FEED_SQL}, f as (select feed_id, p, o, {_json_list("json_extract(o, '$.po_lines')")} as ls from e where master_name = 'po_master' and json_type(o) = 'OBJECT')
+        select feed_id as row_id, cast(p as int) as order_pos, json_extract_string(o, '$.po_id') as po_id, json_extract_string(o, '$.po_number') as po_number, json_extract_string(o, '$.supplier_id') as supplier_id, json_extract_string(o, '$.currency') as currency, cast(len(ls) as int) as n_lines from f""",
     "p3_found": _ORPHANS + "select * from r",
     "p3_monthly": _MONTHLY,
     "p3_replayed": _MONTHLY,

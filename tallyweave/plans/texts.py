@@ -63,18 +63,18 @@ def q_decimals(spark: SparkSession, d: str) -> DataFrame:
 
 def q_label_values(spark: SparkSession, d: str) -> DataFrame:
     """A block that is a document's kind alone, with the block below it."""
-    return B.label_values(B.blocks(_docs(spark, d)), "^(Invoice|Rechnung|Facture|Fatura|Factura|Arve|Delivery note|Lieferschein)$")
+    return B.label_values(_docs(spark, d), "^(Invoice|Rechnung|Facture|Fatura|Factura|Arve|Delivery note|Lieferschein)$")
 
 
 def q_scope_fill(spark: SparkSession, d: str) -> DataFrame:
     """Blocks counted by the last heading above them."""
-    s = B.scope_filled(B.blocks(_docs(spark, d)), {"table": "^(Description|Beschreibung|Omschrijving|Descri|Kirjeldus)", "number": "(?i)(number|nummer|numero)"})
+    s = B.scope_filled(_docs(spark, d), {"table": "^(Description|Beschreibung|Omschrijving|Descri|Kirjeldus)", "number": "(?i)(number|nummer|numero)"})
     return s.groupBy("doc_id", "scope").agg(F.count(F.lit(1)).alias("n_blocks"))
 
 
 def q_look_ahead(spark: SparkSession, d: str) -> DataFrame:
     """Table heads with the first of the next five blocks that ends in a currency."""
-    return B.look_ahead(B.blocks(_docs(spark, d)), F.col("content").rlike("^(Description|Beschreibung|Omschrijving|Kirjeldus)"), F.col("content").rlike("[A-Z]{3}$"))
+    return B.look_ahead(_docs(spark, d), "^(Description|Beschreibung|Omschrijving|Kirjeldus)", "[A-Z]{3}$")
 
 
 def q_topk_numbers(spark: SparkSession, d: str) -> DataFrame:

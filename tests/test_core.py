@@ -33,11 +33,12 @@ def test_scalars(spark):
 
 
 def test_blocks(spark):
-    df = B.blocks(spark.createDataFrame([(1, "Invoice\n\nA-1\nTotal 3"), (2, None), (3, "")], "doc_id long, text string"))
+    docs = spark.createDataFrame([(1, "Invoice\n\nA-1\nTotal 3"), (2, None), (3, "")], "doc_id long, text string")
+    df = B.blocks(docs)
     assert [(r.block_index, r.content) for r in df.orderBy("block_index").collect()] == [(0, "Invoice"), (2, "A-1"), (3, "Total 3")]
-    assert B.label_values(df, "^Invoice$").first()["value"] == "A-1"
-    assert [r.scope for r in B.scope_filled(df, {"t": "Total"}).orderBy("block_index").collect()] == [None, None, "t"]
-    assert B.look_ahead(df, F.col("content") == "Invoice", F.col("content").rlike("[0-9]$"), 5).first()["found"] == "A-1"
+    assert B.label_values(docs, "^Invoice$").first()["value"] == "A-1"
+    assert [r.scope for r in B.scope_filled(docs, {"t": "Total"}).orderBy("block_index").collect()] == [None, None, "t"]
+    assert B.look_ahead(docs, "^Invoice$", "[0-9]$", 5).first()["found"] == "A-1" and B.look_ahead(docs, "^Invoice$", "zzz").first()["found"] is None
 
 
 def test_layout(spark):
