@@ -5,10 +5,12 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyweave.session import ship
+
 # Marks that may stand around a name, and separators inside identifiers.
 PERIPHERAL = " '.,;:()[]{}\""
 SEPARATORS = r"[\s\-.]+"
@@ -24,6 +26,13 @@ def _unaccented(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
 
 
+def _with_package() -> None:
+    """Arrow functions of this module need the package on the executors."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+
+
 def squeezed(col: Column) -> Column:
     """White space runs as one blank, none at the ends."""
     return F.trim(F.regexp_replace(col, r"[\s\p{Z}]+", " "))
@@ -31,6 +40,7 @@ def squeezed(col: Column) -> Column:
 
 def text_key(col: Column) -> Column:
     """Compatibility-composed, case-folded, squeezed text. Spark has no expression for the first two, so an Arrow function does them."""
+    _with_package()
     return squeezed(_compatible(col))
 
 
@@ -56,6 +66,7 @@ def account_key(col: Column) -> Column:
 
 def unaccented(col: Column) -> Column:
     """Text without combining marks (an Arrow function)."""
+    _with_package()
     return _unaccented(col)
 
 

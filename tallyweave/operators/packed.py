@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tallyweave.session import ship
+
 # Quotes and brackets that may enclose a value or a list of values.
 QUOTES = {'"': '"', "'": "'", "`": "`", "«": "»", "“": "”", "„": "“", "‘": "’"}
 BRACKETS = {"[": "]", "{": "}", "(": ")"}
@@ -152,6 +154,7 @@ def split_packed(df: DataFrame, row_id: str, fields: dict[str, str]) -> DataFram
     A row id that repeats gives the rows of each of its rows. Only the named columns are read; others, of whatever name, are
     left out. No shuffle: each batch of rows is tokenized where it is read, whole fields at a time.
     """
+    ship(df.sparkSession)
     schema = T.StructType([T.StructField(row_id, df.schema[row_id].dataType), T.StructField("field_name", T.StringType()), T.StructField("item_pos", T.LongType()), T.StructField("item_value", T.StringType())])
     names = list(fields)
     arrow_id = pa.int64() if isinstance(df.schema[row_id].dataType, T.LongType) else None

@@ -44,3 +44,65 @@ def recognized(files: DataFrame, make: Callable[[], Recognizer]) -> DataFrame:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"page": "Int64"})
 
     return files.select("path", "content").mapInPandas(run, SCHEMA)
+
+
+RENDERED = "path string, page int, image binary, width int, height int, status string, error string"
+
+
+class Renderer(Protocol):
+    """Draws the pages of one file: dicts with page, image (PNG bytes), width and height."""
+
+    def render(self, path: str, content: bytes, dpi: int) -> Iterator[dict]: ...
+
+
+def rendered(files: DataFrame, make: Callable[[], Renderer], dpi: int = 200) -> DataFrame:
+    """Images of the pages of files (path, content) by a renderer that each task makes once; a file that fails gives one row with status 'failed'."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = None
+        for f in frames:
+            out = []
+            for path, content in zip(f["path"], f["content"]):
+                try:
+                    engine = engine or make()
+                    out += [(path, p["page"], p["image"], p["width"], p["height"], "success", None) for p in engine.render(path, content, dpi)]
+                except Exception as e:  # noqa: BLE001
+                    out.append((path, None, None, None, None, "failed", str(e)))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in RENDERED.split(", ")])
+
+    return files.select("path", "content").mapInPandas(run, RENDERED)
+
+
+ANSWERED = "doc_id string, page int, answer string, ok boolean, error string"
+
+
+class VisionClient(Protocol):
+    """Asks a hosted model about one page's image."""
+
+    def ask(self, image: str, prompt: str) -> str: ...
+
+
+class NoVision:
+    """The default without a client: every page stays unanswered and the job goes on."""
+
+    def ask(self, image: str, prompt: str) -> str:
+        raise RuntimeError("no vision client is set up")
+
+
+def asked(pages: DataFrame, make: Callable[[], VisionClient], prompt: str, secrets: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, page, answer, ok, error) of pages (doc_id, page, path): a client is made once a task, on its first page; errors become rows, without the secrets."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = None
+        for f in frames:
+            out = []
+            for doc, page, path in zip(f["doc_id"], f["page"], f["path"]):
+                try:
+                    client = client or make()
+                    out.append((doc, page, client.ask(path, prompt), True, None))
+                except Exception as e:  # noqa: BLE001
+                    text = str(e)
+                    for s in secrets:
+                        text = text.replace(s, "***")
+                    out.append((doc, page, None, False, text))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in ANSWERED.split(", ")])
+
+    return pages.selectExpr("cast(doc_id as string) as doc_id", "cast(page as int) as page", "path").mapInPandas(run, ANSWERED)

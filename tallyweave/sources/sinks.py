@@ -53,3 +53,19 @@ def markdown(summary: DataFrame, title: str, most: int = 200) -> str:
         raise ValueError(f"a report holds at most {most} rows")
     line = lambda cells: "| " + " | ".join("" if c is None else str(c) for c in cells) + " |"
     return "\n".join([f"# {title}", "", line(summary.columns), line(["---"] * len(summary.columns)), *(line(r) for r in rows), ""])
+
+
+def write_each(df: DataFrame, path: str) -> None:
+    """Write envelopes (file, body) in parallel, each file's own in a folder of its name: path/file=<name>/."""
+    df.select("file", F.col("body").alias("value")).repartition("file").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def render_manifest(images: DataFrame) -> DataFrame:
+    """(path, n_pages, n_failed, n_bytes, n_pixels) of rendered pages (see providers.rendered) per file, with all of them as one more row (null path)."""
+    ok = F.col("status") == "success"
+    return images.rollup("path").agg(F.count_if(ok).alias("n_pages"), F.count_if(~ok).alias("n_failed"), F.sum(F.when(ok, F.length("image"))).alias("n_bytes"), F.sum(F.when(ok, F.col("width") * F.col("height"))).cast("long").alias("n_pixels"))
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """An inventory as JSON lines, nulls kept."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

@@ -112,9 +112,72 @@ def test_sources_and_sinks(spark, tmp_path):
     assert pd.concat(pd.read_csv(p) for p in (tmp_path / "csv").glob("*.csv")).dates.tolist() == ["a|b"]
 
 
+def test_evidence_of_all_sources(spark):
+    from tallyweave.sources import evidence as E
+
+    pages = spark.createDataFrame([("d", 1, "A long line of native text\n\nand more"), ("d", 2, " . "), ("d", 3, None)], "doc_id string, page int, text string")
+    assert [r.kind for r in E.native_pages(pages).orderBy("page").collect()] == ["native", "image", "image"]
+    ocr = E.from_recognition(spark.createDataFrame([("d", 2, 0, "Total", 0.9, [[1.6, 2.0], [9.0, 2.0], [9.0, 5.4], [1.6, 5.4]])], "doc_id string, page int, block_index int, content string, confidence double, polygon array<array<double>>"))
+    seen = E.from_vision(spark.createDataFrame([("d", 3, "one\ntwo", True), ("d", 4, None, False)], "doc_id string, page int, answer string, ok boolean"))
+    rows = E.from_native(pages).unionByName(ocr).unionByName(seen)
+    assert rows.columns == list(E.COLUMNS) and rows.select("evidence_id").distinct().count() == rows.count() == 6
+    r = ocr.first()
+    assert (r.x0, r.y0, r.x1, r.y1, r.confidence) == (2.0, 2.0, 9.0, 5.0, 0.9) and seen.where("confidence is not null").count() == 0
+    wanted = spark.createDataFrame([("d", 1), ("d", 2), ("d", 2)], "doc_id string, page int")
+    got = E.acquired(wanted, ocr, seen.withColumn("page", F.lit(1)), ["doc_id", "page"])
+    assert sorted((r.page, r.origin) for r in got.collect()) == [(1, "read"), (1, "read"), (2, "cache")]
+    langs = spark.createDataFrame([("de-DE",), ("th",), (None,), ("xx",)], "language string")
+    assert [r.model for r in E.models_for(langs, {"de": "latin", "th": "thai"}, "base").collect()] == ["latin", "thai", "base", "base"]
+    known = spark.createDataFrame([("x/page_001.png",), ("x/page-002.png",)], "path string")
+    paths = spark.createDataFrame([("d", i, f"x/page-00{i}.png") for i in (1, 2, 3)], "doc_id string, page int, path string")
+    assert [r.path for r in E.image_paths(paths, known).orderBy("page").collect()] == ["x/page_001.png", "x/page-002.png", None]
+
+
+def test_renderers_and_vision_fail_alone(spark, tmp_path):
+    found = spark.createDataFrame([("a", b"x"), ("b", b"y")], "path string, content binary")
+
+    class Draw:
+        def render(self, path, content, dpi):
+            if content == b"y":
+                raise ValueError("torn")
+            yield {"page": 1, "image": b"png", "width": 2, "height": 3}
+
+    images = providers.rendered(found, Draw)
+    total = {r.path: (r.n_pages, r.n_failed, r.n_bytes, r.n_pixels) for r in sinks.render_manifest(images).collect()}
+    assert total == {"a": (1, 0, 3, 6), "b": (0, 1, None, None), None: (1, 1, 3, 6)}
+
+    class Ask:
+        def ask(self, image, prompt):
+            if image == "b":
+                raise RuntimeError("key s3cret refused")
+            return f"{prompt} {image}"
+
+    got = {r.page: (r.answer, r.ok, r.error) for r in providers.asked(spark.createDataFrame([("d", 1, "a"), ("d", 2, "b")], "doc_id string, page int, path string"), Ask, "read", ("s3cret",)).collect()}
+    assert got == {1: ("read a", True, None), 2: (None, False, "key *** refused")}
+    assert providers.asked(spark.createDataFrame([("d", 1, "a")], "doc_id string, page int, path string"), providers.NoVision, "read").first()["ok"] is False
+    sinks.write_each(spark.createDataFrame([("a.pdf", "{}"), ("b.pdf", "{}")], "file string, body string"), str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").glob("file=*")) == ["file=a.pdf", "file=b.pdf"]
+
+
+def test_store(spark, tmp_path):
+    from tallyweave.sources.store import LOOKUPS, MasterStore
+
+    s = MasterStore.from_records(spark, suppliers=[{"supplier_id": "S1", "name": " Alpha. ", "vat_id": "de 12-3"}, {"supplier_id": "S2", "name": "alpha"}], payment_terms=[{"payment_term_id": "T", "days": 30}])
+    assert s.find("supplier_by_vat", "DE123").first()["supplier_id"] == "S1" and s.find("supplier_by_name", "ALPHA").count() == 2
+    assert s.find("terms_by_days", 30).count() == 1 and s.find("supplier_by_email", "").count() == 0 and len(LOOKUPS) == 15
+    assert {r["key"]: r.n_rows for r in s.index("supplier_by_name").collect()} == {"alpha": 2}
+    try:
+        MasterStore.from_records(spark, suppliers=[{"nom": "x"}])
+        raise AssertionError
+    except ValueError as e:
+        assert "nom" in str(e)
+    (tmp_path / "payment_terms.json").write_text(json.dumps([{"payment_term_id": "T", "days": 30, "text_aliases": ["net"]}]))
+    assert MasterStore.from_folder(spark, str(tmp_path), ("payment_terms",)).find("term_by_id", " T ").count() == 1
+
+
 def test_entry(spark):
     q, s = entry.queries(), entry.oracle_sql()
-    assert set(s) <= set(q) and len(q) > 40
+    assert set(s) <= set(q) and len(q) > 90
     assert entry.entry(spark).count() > 0
 
 
