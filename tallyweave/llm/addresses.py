@@ -178,6 +178,8 @@ def parsed(records: DataFrame, batch: int = 20_000) -> DataFrame:
 
     Null and blank addresses give no row. Repeated texts of a batch are parsed once.
     """
+    ship(records.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Address] = {}
         for b in batches:
