@@ -62,7 +62,8 @@ class OrphanState:
     parents: rows (parent_id, ref_key, valid_from, valid_to, gone), the newest of a (ref_key, parent_id) counts; owners: the keys of each parent_id; index: the
     staircase of each key (see parent_index), the newest counts; refs: references with their reason, those older than their key's newest parent row were
     probed again and do not count any more. Every table has the batch `v` and a bucket of its key as folders. A batch that is run again after a failure writes its own
-    folders anew. buckets: parts of the tables by key, to be chosen once by the state's size.
+    folders anew. buckets: parts of the tables by key, to be chosen once by the state's size. hot: keys that were
+    hot in some batch, fewer than skew.HOT_SHARE a batch.
     """
 
     spark: SparkSession
@@ -70,6 +71,7 @@ class OrphanState:
     buckets: int = 32
     v: int = 0
     kinds: dict[str, StructType] = field(default_factory=dict)
+    hot: tuple[str, ...] = ()
 
     @staticmethod
     def new(spark: SparkSession, folder: str | None = None, buckets: int = 32) -> OrphanState:
@@ -112,7 +114,7 @@ class OrphanState:
         if again is None:
             return df.select("ref_id", "ref_key", "ref_at", "reason")
         last = again.groupBy("ref_key").agg(F.max("v").alias("last"))
-        return salted_join(df, last, "ref_key", "left", spread=F.xxhash64("ref_id")).where("last is null or v >= last").select("ref_id", "ref_key", "ref_at", "reason")
+        return salted_join(df, last, "ref_key", "left", hot=list(self.hot), spread=F.xxhash64("ref_id")).where("last is null or v >= last").select("ref_id", "ref_key", "ref_at", "reason")
 
     def orphans(self) -> DataFrame:
         """References that wait for a parent now."""
@@ -147,19 +149,25 @@ def step(state: OrphanState, new_refs: DataFrame | None = None, new_parents: Dat
             rows = rows.unionByName(gone.withColumn("gone", F.lit(True)), allowMissingColumns=True)
         state = state.written("parents", rows.where("ref_key is not null"), "ref_key", "parent_id")
         touched = state.read("parents").where(F.col("v") == v).select("ref_key").distinct()
-        at = state.buckets_of(touched, "ref_key") if v > 1 else None
-        rows = state.read("parents", at).join(touched, "ref_key", "left_semi")
-        last = rows.groupBy("ref_key", "parent_id").agg(F.max("v").alias("v"))
-        alive = rows.join(last, ["ref_key", "parent_id", "v"], "left_semi").where("not gone")
+        if owners is None:  # the first parents: all are alive, all keys are new
+            at, index = None, parent_index(new)
+        else:
+            at = state.buckets_of(touched, "ref_key")
+            known = state.read("parents", at).join(touched, "ref_key", "left_semi")
+            last = known.groupBy("ref_key", "parent_id").agg(F.max("v").alias("v"))
+            alive = known.join(last, ["ref_key", "parent_id", "v"], "left_semi").where("not gone")
+            index = touched.join(parent_index(alive), "ref_key", "left")
         again = state.refs(at, before=v)
-        state = state.written("index", touched.join(parent_index(alive), "ref_key", "left"), "ref_key")
+        state = state.written("index", index, "ref_key")
         if again is not None:
             todo = again.join(touched, "ref_key", "left_semi").select("ref_id", "ref_key", "ref_at")
     if new_refs is not None:
         new_refs = new_refs.select("ref_id", stripped(F.col("ref_key")).alias("ref_key"), "ref_at").where("ref_key <> ''")
         todo = new_refs if todo is None else todo.unionByName(new_refs)
     if todo is not None:
-        index = state.index(state.buckets_of(todo, "ref_key") if v > 1 else None)
-        probed = todo.withColumn("reason", F.lit("missing")) if index is None else probe(todo, index, hot_keys(todo, "ref_key"))
+        index = state.index(state.buckets_of(todo, "ref_key") if v > 1 and "index" in state.kinds else None)
+        hot = hot_keys(todo, "ref_key")
+        state = replace(state, hot=tuple(sorted({*state.hot, *hot})))
+        probed = todo.withColumn("reason", F.lit("missing")) if index is None else probe(todo, index, hot)
         state = state.written("refs", probed, "ref_key", "ref_id")
     return replace(state, v=v)
