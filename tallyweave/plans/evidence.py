@@ -11,6 +11,7 @@ from tallyweave.operators import consensus as C
 from tallyweave.operators import extract as R
 from tallyweave.operators import matching as M
 from tallyweave.operators import nested
+from tallyweave.plans import masters, texts
 from tallyweave.sources.tables import table
 
 COLUMNS = "(?i)(description|quantity|unit price|amount|beschreibung|menge|einzelpreis|betrag|omschrijving|aantal|stukprijs|bedrag|descripci.n|cantidad|precio|importe|kirjeldus|kogus|hind|summa)"
@@ -235,7 +236,49 @@ def q_run_summary(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "master_feed").select("master_name", status.alias("status"), F.length("payload").alias("n")).groupBy("master_name", "status").agg(F.count(F.lit(1)).alias("n_deliveries"), F.sum("n").alias("n_chars"))
 
 
+def q_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """All that texts offer, in one long table: key fields, labelled fields and table lines."""
+    b = B.blocks(_docs(spark, d))
+    parts = [R.key_fields(_docs(spark, d), R.KEY_FIELDS).select("doc_id", F.lit("key").alias("kind"), "field", "value"), R.labelled(b, texts.LABELS).select("doc_id", F.lit("label").alias("kind"), "field", "value"), R.table_lines(b).select("doc_id", F.lit("line").alias("kind"), F.lit("description").alias("field"), F.col("description").alias("value"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_identities(spark: SparkSession, d: str) -> DataFrame:
+    """Observed suppliers as the keys they are matched by, with how many of them are known."""
+    k = masters.supplier_keys(table(spark, d, "observed_supplier_identity"), "obs_id", "obs_id")
+    return k.withColumn("n_known", sum((F.when(F.col(c) != "", 1).otherwise(0) for c in ("vat", "name", "email", "iban")), F.lit(0)))
+
+
+def q_normal_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with what their lines lack: lines, numbers, quantities and prices that are missing or unreadable, and the currency."""
+    lines = F.expr("filter(coalesce(po_lines, array()), l -> l is not null)")
+    lack = lambda f: F.size(F.filter(lines, f))
+    return table(spark, d, "po_master").select(
+        "po_row_id", F.size(lines).alias("n_lines"), lack(lambda x: F.coalesce(F.trim(x["line_id"]), F.lit("")) == "").alias("without_id"), lack(lambda x: x["quantity"].isNull()).alias("without_quantity"),
+        lack(lambda x: x["unit_price"].isNull() | ~x["unit_price"].rlike("[0-9]")).alias("without_price"), F.when(F.coalesce(F.trim("currency"), F.lit("")) == "", "MISSING_CURRENCY").when(F.size(lines) == 0, "NO_LINES").alias("issue"),
+    )
+
+
+# Small words that tell languages apart.
+SMALL_WORDS = {"en": r"(?i)\s(the|and|for|with)\s", "de": r"(?i)\s(und|der|die|das)\s", "fr": r"(?i)\s(les|des|est|pour)\s", "es": r"(?i)\s(los|del|para|con)\s", "nl": r"(?i)\s(het|van|een|voor)\s"}
+
+
+def q_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Detectors over whole texts: table, total and tax, currencies named, and the language whose small words are most frequent."""
+    n = F.array(*(F.struct(F.regexp_count("text", F.lit(p)).alias("n"), F.lit(-i).alias("rank"), F.lit(k).alias("code")) for i, (k, p) in enumerate(SMALL_WORDS.items())))
+    money = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("(EUR|USD|GBP|GHS|MYR|ZAR|THB)"), F.lit(1)))), "|")
+    df = _docs(spark, d).where("text is not null").select("doc_id", (F.regexp_count("text", F.lit(COLUMNS)) >= 2).alias("has_table"), F.col("text").rlike(TOTAL).alias("has_total"), F.col("text").rlike(TAX).alias("has_tax"), money.alias("currencies"), F.array_max(n).alias("top"))
+    return df.select("doc_id", "has_table", "has_total", "has_tax", "currencies", F.when(F.col("top.n") > 0, F.col("top.code")).alias("hint"))
+
+
+def q_zipped(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers and dates of inventoried files put together by place; files whose lists differ in length give none."""
+    two = table(spark, d, "document_inventory").where("invoice_number_candidates is not null and date_candidates is not null").select("inventory_id", F.split("invoice_number_candidates", "[|]").alias("a"), F.split("date_candidates", "[|]").alias("b")).where("size(a) = size(b)")
+    return two.select("inventory_id", F.posexplode(F.arrays_zip("a", "b")).alias("place", "z")).select("inventory_id", (F.col("place") + 1).alias("place"), F.col("z.a").alias("number"), F.col("z.b").alias("date"))
+
+
 QUERIES = {f.__name__: f for f in (
+    q_candidates, q_identities, q_normal_orders, q_signals, q_zipped,
     q_table_rows, q_key_fields, q_item_kinds, q_order_numbers, q_tax_names, q_rates, q_text_sizes, q_text_coverage, q_full_texts, q_evidence_sources, q_evidence_order, q_evidence_union, q_fact_counts, q_value_evidence, q_class_consensus, q_currency_conflicts,
     q_key_differences, q_acquired, q_models, q_po_violations, q_round_trip, q_markdown_rows, q_plain_names, q_currency_context, q_image_sizes, q_file_parts, q_first_files, q_first_lines, q_confidences, q_inventory_totals, q_run_summary,
 )}
@@ -258,7 +301,14 @@ _PO_SQL = {
 _has = lambda c: f"count(*) filter (coalesce(trim({c}), '') <> '')"
 _OBS = " union all ".join(f"select supplier_id as key, '{f}' as field, trim({f}) as value, supplier_row_id as id from suppliers where trim({f}) <> '' and supplier_id is not null" for f in ["name", "vat_id", "country", "email", "bank_iban"])
 
+_TEXT = texts.SQL
+_LANGS = list(SMALL_WORDS)
 SQL = {
+    "q_identities": f"with k as ({masters._KEYS('obs_id', 'observed_supplier_identity')}) select obs_id, vat, name, email, iban, nullif(country, '') as country, " + " + ".join(f"case when {c} <> '' then 1 else 0 end" for c in ("vat", "name", "email", "iban")) + " as n_known from k",
+    "q_normal_orders": f"select po_row_id, cast(len({_L}) as int) as n_lines, cast(len(list_filter({_L}, lambda l: coalesce(trim(l.line_id), '') = '')) as int) as without_id, cast(len(list_filter({_L}, lambda l: l.quantity is null)) as int) as without_quantity, cast(len(list_filter({_L}, lambda l: l.unit_price is null or not regexp_matches(l.unit_price, '[0-9]'))) as int) as without_price, case when coalesce(trim(currency), '') = '' then 'MISSING_CURRENCY' when len({_L}) = 0 then 'NO_LINES' end as issue from po_master",
+    "q_signals": "with n as (select doc_id, text, " + ", ".join(f"len(regexp_extract_all(text, '{p}')) as n_{k}" for k, p in SMALL_WORDS.items()) + f" from documents where text is not null) select doc_id, len(regexp_extract_all(text, '{COLUMNS}')) >= 2 as has_table, regexp_matches(text, '{TOTAL}') as has_total, regexp_matches(text, '{TAX}') as has_tax, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '(EUR|USD|GBP|GHS|MYR|ZAR|THB)'))), '|') as currencies, case "
+    + " ".join(f"when n_{k} > 0 and n_{k} >= greatest({', '.join(f'n_{x}' for x in _LANGS)}) then '{k}'" for k in _LANGS) + " end as hint from n",
+    "q_zipped": "with z as (select inventory_id, string_split(invoice_number_candidates, '|') as a, string_split(date_candidates, '|') as b from document_inventory where invoice_number_candidates is not null and date_candidates is not null) select inventory_id, cast(generate_subscripts(a, 1) as int) as place, unnest(a) as number, unnest(b) as date from z where len(a) = len(b)",
     "q_table_rows": rf"""with {_B}, h as (select *, min(block_index) filter (len(regexp_extract_all(content, '{COLUMNS}')) >= 2) over (partition by doc_id) as head from b),
         t as (select *, min(block_index) filter (regexp_matches(content, '{TOTAL}') and block_index > head) over (partition by doc_id) as tot from h),
         c as (select doc_id, block_index, list_transform(string_split_regex(trim(content), '{R.CELLS}'), lambda x: trim(x)) as cells from t where block_index > head and (tot is null or block_index < tot)
@@ -301,3 +351,4 @@ SQL = {
     "q_inventory_totals": f"select count(*) as n_rows, count(distinct doc_id) as n_docs, count(distinct filename) as n_files, cast(sum(page_count) as bigint) as n_pages, count(*) filter (is_multi_page) as n_multi_page, count(*) filter (not is_multi_page) as n_single_page, max(page_count) as most_pages, cast(sum(file_size_bytes) as bigint) as n_bytes, cast(sum(total_words) as bigint) as n_words, cast(sum(total_characters) as bigint) as n_chars, count(*) filter (total_characters < 20) as n_without_text, {_has('currency_candidates')} as with_currency, {_has('invoice_number_candidates')} as with_number, {_has('date_candidates')} as with_date, {_has('po_number_candidates')} as with_order, count(*) filter (payable_status = 'likely_payable') as n_payable, count(distinct document_class) as n_classes from document_inventory",
     "q_run_summary": "select master_name, case when payload is null or trim(payload) = '' then 'empty' when json_valid(payload) then 'read' else 'failed' end as status, count(*) as n_deliveries, cast(sum(length(payload)) as bigint) as n_chars from master_feed group by 1, 2",
 }
+SQL["q_candidates"] = f"select doc_id, 'key' as kind, field, value from ({SQL['q_key_fields']}) union all select doc_id, 'label', field, value from ({_TEXT['q_fields']}) union all select doc_id, 'line', 'description', description from ({_TEXT['q_table_lines']})"

@@ -18,13 +18,13 @@ def _upper(c: str):  # noqa: ANN202
     return F.upper(X.code_key(F.col(c)))
 
 
-def _supplier_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+def supplier_keys(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(F.col(key).alias(name), X.identifier_key(F.col("vat_id")).alias("vat"), X.name_key(F.col("name")).alias("name"), F.lower(X.code_key(F.col("email"))).alias("email"), X.account_key(F.col("bank_iban")).alias("iban"), _upper("country").alias("country"))
 
 
 def q_supplier_match(spark: SparkSession, d: str) -> DataFrame:
     """Observed suppliers against the master."""
-    return R.match_suppliers(_supplier_keys(table(spark, d, "observed_supplier_identity"), "obs_id", "obs_id"), _supplier_keys(table(spark, d, "suppliers"), "supplier_id", "cand_id"))
+    return R.match_suppliers(supplier_keys(table(spark, d, "observed_supplier_identity"), "obs_id", "obs_id"), supplier_keys(table(spark, d, "suppliers"), "supplier_id", "cand_id"))
 
 
 def q_supplier_outcomes(spark: SparkSession, d: str) -> DataFrame:
