@@ -259,11 +259,11 @@ def same_location(a: tuple, b: tuple) -> bool:
 PASSES, LEAD = (("number", "town", "street", "kind"), ("number", "street", "town", "postcode"), ("number", "postcode", "-street", "kind"), ("town", "-street", "number", "kind")), 2
 
 
-def neighbours(reps: DataFrame, order: tuple[str, ...], window: int, per_task: int) -> DataFrame:
+def neighbours(reps: DataFrame, order: tuple[str, ...], window: int, tasks: int) -> DataFrame:
     """Links (a, b) of representatives (rep, *PARTS) that are neighbours in the order and denote one location.
 
     A row is compared with the `window` rows before it, and with all before it of its run: rows that agree in the first LEAD components and in the first
-    letter of the next, so the window grows where a house number and town are dense. Rows are split into ranges of the order of about `per_task` rows and
+    letter of the next, so the window grows where a house number and town are dense. Rows are split into `tasks` ranges of the order and
     sorted there; each task slides over its range. The last rows of each range meet the first ones of the next in a task of their own for each border.
     """
     plain = [k.lstrip("-") for k in order]
@@ -334,10 +334,9 @@ def neighbours(reps: DataFrame, order: tuple[str, ...], window: int, per_task: i
         yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
     ship(reps.sparkSession)
-    n = max(1, min(width(reps) * 4, reps.count() // per_task))
-    ranged = reps.select(*fields).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = reps.select(*fields).repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     out = ranged.mapInArrow(slide, "a long, b long, border int, side int, rep long, " + ", ".join(f"{f} string" for f in PARTS))
-    if n == 1:
+    if tasks == 1:
         return out.where("b is not null").select("a", "b")
     out = cut(out)
     edges = out.where("b is null").select("border", "side", *fields).repartition("border").sortWithinPartitions("border", "side", *keys)
@@ -356,9 +355,9 @@ def locations(records: DataFrame, window: int = 12, per_task: int = 2_000) -> Da
     certain = (F.col("street") != "") & (F.col("number") != "") & ((F.col("town") != "") | (F.col("postcode") != ""))
     rows = cut(rows.select("rec", F.when(certain, F.xxhash64(*PARTS)).alias("rep"), *PARTS))
     reps = cut(rows.where("rep is not null").groupBy("rep").agg(*(F.first(p).alias(p) for p in PARTS)))
-    links = None
+    links, tasks = None, max(1, min(width(reps) * 4, reps.count() // per_task))
     for order in PASSES:
-        found = neighbours(reps, order, window, per_task)
+        found = neighbours(reps, order, window, tasks)
         links = found if links is None else links.unionByName(found)
     member = classes(links.distinct())
     member = member.select(F.col("node").alias("rep"), "label")

@@ -140,6 +140,34 @@ def test_location_pairs_match_brute_force(spark):
     assert A.location_pairs(df.limit(0)).count() == 0
 
 
+def test_windows_in_a_dense_town(spark):
+    """A third of the records in one town, forty streets to a house number: the windows find what a full comparison finds."""
+    rnd = random.Random(8)
+    streets = ["".join(rnd.choice("bdfgklmnprst") + rnd.choice("aeiou") + rnd.choice("lmnrs") for _ in range(3)) for _ in range(400)]
+    towns = ["Stonburg"] + ["".join(rnd.choice("gklmnprst") + rnd.choice("aeiou") for _ in range(4)) for _ in range(30)]
+    rows = []
+    for i in range(1500):
+        street, number = rnd.choice(streets), rnd.randrange(1, 13)
+        town = towns[0] if rnd.random() < 1 / 3 else rnd.choice(towns)
+        for _ in range(2):
+            k = rnd.randrange(1, len(street) - 1)
+            s = street if rnd.random() < 0.5 else street[:k] + rnd.choice("aeiou") + street[k + 1 :]
+            rows.append((f"r{len(rows)}", f"{s.title()}straße {number}, {town}"))
+    rows += [("n1", "n/a"), ("n2", "-"), ("n3", "Hauptstrasse, Berlin"), ("n4", "Hauptstr., Berlin")]
+    df = spark.createDataFrame(rows, "rec string, address string")
+    at = {r.rec: r.location for r in A.locations(df, per_task=300).collect()}
+    assert all(at[f"n{k}"] is None for k in (1, 2, 3, 4))
+    parsed = sorted({tuple(A.parse(a)) for _, a in rows[:-4]})
+    where = defaultdict(set)
+    for (rec, a) in rows[:-4]:
+        where[tuple(A.parse(a))].add(at[rec])
+    by_number = defaultdict(list)
+    for p in parsed:
+        by_number[p[2]].append(p)
+    links = [(a, b) for group in by_number.values() for i, a in enumerate(group) for b in group[:i] if A.same_location(a, b)]
+    assert len(links) > 300 and sum(where[a] == where[b] for a, b in links) >= 0.99 * len(links)
+
+
 # ---- entities
 
 MASTER = [
@@ -182,6 +210,21 @@ def test_values_that_many_suppliers_share_still_match(spark):
     assert got == {(1, f"S{i}") for i in range(49)} | {(2, f"T{i}") for i in range(50)}
 
 
+def test_values_that_most_suppliers_share_count_beside_another(spark):
+    """The same pairs whether 60 or 140 suppliers share an account: a close second field finds its supplier, also if that one is shared as well."""
+    cols = "name string, vat_id string, bank_iban string, address string"
+    rnd = random.Random(3)
+    name = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(4)).capitalize()
+    names, account = [name() for _ in range(140)], "DE007275417479593406"
+    for n in (60, 140):
+        master = [(f"S{i}", f"{names[i]} GmbH", f"DE04{i:07}", account, None) for i in range(n)] + [(f"T{i}", "Fandgik GmbH", f"DE05{i:07}", account, f"Nendvikstraße {i + 1}, 41148 Stonburg") for i in range(n)]
+        seen = [(1, f"{names[7]} GmbH", None, "DE00 7275 4174 7959 3406", None), (2, None, None, account, None), (3, "Fandgik GmbH", None, account, "Nendvikstr. 9, 41148 Stonburg"), (4, None, "DE040000011", account, None)]
+        got = E.candidates(*(x.withColumnRenamed("id", k) for x, k in ((E.encoded(spark.createDataFrame([(r[0], *r[1:]) for r in seen], f"id long, {cols}"), "id"), "obs_rep"), (E.encoded(spark.createDataFrame(master, f"id string, {cols}"), "id"), "sup_rep"))))
+        pairs = {(r.obs_rep, r.sup_rep) for r in got.collect()}
+        assert {(1, "S7"), (3, "T8"), (4, "S11")} <= pairs
+        assert n == 60 or len([p for p in pairs if p[0] == 2]) == 0 and len(pairs) < 2 * n + 10
+
+
 def test_parts_of_all_vectors_within_the_radius_meet():
     rnd = random.Random(1)
     letters, digits, within, apart_too = "abdegiklmnoprstuv", "0123456789", 0, 0
