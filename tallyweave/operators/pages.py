@@ -31,13 +31,13 @@ def classified(pages: DataFrame, words: dict[str, str], page: str, keyword: str)
     above 1, or by a keyword. Roles are asked in a fixed order; a page has signs of an invoice by title, by its particulars, or by a tax beside lines. What is
     payable follows from role and counts. Everything is read off each page's own row.
     """
-    marked = F.filter("lines", lambda x: x.rlike(page))
-    last = F.element_at(marked, -1)
+    # read off once: behind a generator, Catalyst does not repeat the counts in every rule that asks for them
+    counts = F.struct(*(lines_with(words[k]).alias(k) for k in KINDS), F.filter("lines", lambda x: x.rlike(page)).alias("_marked"), lines_with(keyword).alias("_keyword"))
     number = lambda x, k: F.regexp_extract(x, page, k).try_cast("int")
-    df = pages.withColumns({k: lines_with(words[k]) for k in KINDS}).withColumns({
-        "current": F.when(F.size(marked) > 0, number(last, 1)), "total": F.when(F.size(marked) > 0, number(last, 2)),
-        "continues": F.exists(marked, lambda x: F.coalesce(number(x, 1) > 1, F.lit(False))) | (lines_with(keyword) > 0),
-    })
+    last = F.try_element_at("_marked", F.lit(-1))
+    df = pages.select("*", F.inline(F.array(counts))).withColumns({
+        "current": number(last, 1), "total": number(last, 2), "continues": F.exists("_marked", lambda x: F.coalesce(number(x, 1) > 1, F.lit(False))) | (F.col("_keyword") > 0),
+    }).drop("_marked", "_keyword")
     has = lambda k: F.col(k) > 0
     invoice = has("title") | has("meta") | (has("tax") & has("line"))
     role = (

@@ -33,7 +33,7 @@ def q_row_histogram(spark: SparkSession, d: str) -> DataFrame:
 def q_columns(spark: SparkSession, d: str) -> DataFrame:
     """Cells per page and nearest column head."""
     cells = _cells(spark, d)
-    heads = cells.select("page_id").distinct().select("page_id", F.inline(F.array(*(F.struct(F.lit(n).alias("column_no"), F.lit(x).alias("x")) for n, x in HEADS))))
+    heads = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("page_id")).distinct().select("page_id", F.inline(F.array(*(F.struct(F.lit(n).alias("column_no"), F.lit(x).alias("x")) for n, x in HEADS))))
     return L.columns(cells, heads).groupBy("page_id", "column_no").agg(F.count(F.lit(1)).alias("n_cells"), F.sum("x").alias("sum_x"))
 
 
