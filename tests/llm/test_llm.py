@@ -289,6 +289,21 @@ def test_close_values_equal_a_full_comparison(spark):
     assert {(r.value, r.r_value) for r in E.close_values(*made).collect()} == want and ("npevsen", "npesven") in want
 
 
+def test_no_table_is_sent_through_the_driver(spark, monkeypatch, tmp_path):
+    """Spark takes these tables for small ones, as it does with a value's keys, of which it counts one."""
+    cols, plans, cut = "name string, vat_id string, bank_iban string, address string", [], E.cut
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(E, "cut", noted)
+    for name, key, rows in (("m", "supplier_id string", MASTER), ("o", "obs_id long", SEEN)):
+        spark.createDataFrame([r[:5] for r in rows], f"{key}, {cols}").write.parquet(str(tmp_path / name))
+    noted(E.match_entities(*(spark.read.parquet(str(tmp_path / name)) for name in "om")))
+    assert sum("Join" in p for p in plans) >= 4 and not [p for p in plans if "Broadcast" in p]
+
+
 def test_confidences_say_how_often_matches_are_right(spark):
     rnd = random.Random(12)
     name = lambda: "".join(rnd.choice("bdgklmnprst") + rnd.choice("aeiou") for _ in range(3)).capitalize()
