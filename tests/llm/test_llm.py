@@ -225,6 +225,23 @@ def test_values_that_most_suppliers_share_count_beside_another(spark):
         assert n == 60 or len([p for p in pairs if p[0] == 2]) == 0 and len(pairs) < 2 * n + 10
 
 
+def test_values_that_most_suppliers_share_match_alone_as_well(spark, monkeypatch):
+    """Whatever SHARED is, the matches are the same as when all pairs are listed."""
+    cols = "name string, vat_id string, bank_iban string, address string"
+    rnd, account, street = random.Random(5), "DE007275417479593406", "Nendvikstraße 172, 41148 Stonburg"
+    pick = lambda *x: rnd.choice(x)
+    rows = lambda n, vat: [(pick("Fandgik GmbH", "Fandgik Logistik GmbH", "Horpelun AG", "Fandgyk GmbH", None), pick(vat(i), None), pick(account, "DE001111417479590000", None), pick(street, "Somestraße 3, 41000 Town", None)) for i in range(n)]
+    master = [(f"S{i}", "Fandgik GmbH", f"DE04{i:07}", None, None) for i in range(80)] + [(f"T{i}", *r) for i, r in enumerate(rows(120, lambda i: f"DE05{i:07}"))]
+    seen = [(1, "Fandgik GmbH", None, None, None), *((i + 2, *r) for i, r in enumerate(rows(60, lambda i: f"DE0500000{i % 9}1")))]
+    m, o = spark.createDataFrame(master, f"supplier_id string, {cols}"), spark.createDataFrame(seen, f"obs_id long, {cols}")
+    found = []
+    for shared in (64, 10**6):
+        monkeypatch.setattr(E, "SHARED", shared)
+        monkeypatch.setattr(E, "calibrate", lambda scored: E.UNFITTED)
+        found.append({(r.obs_id, r.supplier_id, round(r.confidence, 9)) for r in E.match_entities(o, m).collect()})
+    assert found[0] == found[1] and {(1, f"S{i}") for i in range(80)} <= {x[:2] for x in found[0]}
+
+
 def test_parts_of_all_vectors_within_the_radius_meet():
     rnd = random.Random(1)
     letters, digits, within, apart_too = "abdegiklmnoprstuv", "0123456789", 0, 0
